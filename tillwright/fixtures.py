@@ -1,8 +1,13 @@
-"""Transaction views over the test tables (FIXTURES.md). Joins are left to the optimizer's size checks."""
+"""Transaction views over the test tables (FIXTURES.md).
+
+Which small side to broadcast is left to the optimizer's size check. The one join of two large
+tables asks for a sort-merge join, which spills and splits skewed keys at any size: the check goes
+by compressed file sizes, and may broadcast a table that is several times as large in memory.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwright.schema import EVENT_TIME_FORMAT, FAILED, PENDING, RECORD_FIELDS, SUCCESS
@@ -19,32 +24,41 @@ TX_DOMAINS = {
     "transaction_status": ["Success", "Failed", "Pending"],
 }
 
-_PAYMENT_METHODS = ("Credit Card", "Debit Card", "UPI", "Net Banking", "COD")
+# The columns used of each table. Declared, as inferring a schema is a job per table.
+_COLUMNS = {
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_quantity double, l_shipdate timestamp_ntz",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderpriority string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_mktsegment string",
+    "nation": "n_nationkey int, n_name string",
+    "part": "p_partkey bigint, p_name string, p_type string, p_retailprice double",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(_COLUMNS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _buyers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The buyer fields of a record, one row per customer."""
     customer = _table(spark, sf_dir, "customer")
     nation = _table(spark, sf_dir, "nation")
-    key = F.col("c_custkey")
-    return customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
-        key,
-        key.cast("string").alias("user_id"),
-        F.col("c_name").alias("user_name"),
-        F.concat(F.lit("user"), key.cast("string"), F.lit("@example.com")).alias("email"),
-        (F.lit(18) + key % 53).cast("int").alias("age"),
-        _pick(key % 3, ("Male", "Female", "Other")).alias("gender"),
-        F.col("n_name").alias("country"),
-        F.col("c_mktsegment").alias("city"),
+    return customer.join(nation, customer.c_nationkey == nation.n_nationkey).selectExpr(
+        "c_custkey",
+        "cast(c_custkey as string) as buyer_id",
+        "c_name as user_name",
+        "concat('user', c_custkey, '@example.com') as email",
+        "cast(18 + c_custkey % 53 as int) as age",
+        "case c_custkey % 3 when 0 then 'Male' when 1 then 'Female' else 'Other' end as gender",
+        "n_name as country",
+        "c_mktsegment as city",
     )
 
 
-def _pick(index: Column, names: tuple[str, ...]) -> Column:
-    return F.element_at(F.array(*[F.lit(name) for name in names]), (index + 1).cast("int"))
+def _records(rows: DataFrame, derived: dict[str, str]) -> DataFrame:
+    """The record fields in order, by expression where there is one and by name otherwise."""
+    return rows.selectExpr(*[f"{derived.get(name, name)} as `{name}`" for name in RECORD_FIELDS])
 
 
 def tx_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,33 +68,30 @@ def tx_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     (order and part) rather than three.
     """
     buyers = _buyers(spark, sf_dir)
-    orders = _table(spark, sf_dir, "orders").join(buyers, F.col("o_custkey") == F.col("c_custkey"))
+    orders = _table(spark, sf_dir, "orders")
+    orders = orders.join(buyers, orders.o_custkey == buyers.c_custkey)
+    lines = _table(spark, sf_dir, "lineitem")
     parts = _table(spark, sf_dir, "part")
-    lines = (
-        _table(spark, sf_dir, "lineitem")
-        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(parts, F.col("l_partkey") == F.col("p_partkey"))
-    )
-    day = F.date_format("l_shipdate", "yyyy-MM-dd")
-    status = (
-        F.when(F.col("l_partkey") % 97 == 0, F.lit(None))
-        .when(F.col("l_partkey") % 89 == 0, "")
-        .when(F.col("o_orderstatus") == "F", SUCCESS)
-        .when(F.col("o_orderstatus") == "O", PENDING)
-        .when(F.col("o_orderstatus") == "P", FAILED)
+    return _records(
+        lines.hint("merge")
+        .join(orders, lines.l_orderkey == orders.o_orderkey)
+        .join(parts, lines.l_partkey == parts.p_partkey),
+        {
+            "transaction_id": "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, "
+            "date_format(l_shipdate, 'yyyy-MM-dd'))",
+            "user_id": "buyer_id",
+            "product_id": "cast(p_partkey as string)",
+            "product_name": "p_name",
+            "category": "case when l_partkey % 101 <> 0 then p_type end",
+            "quantity": "cast(cast(l_quantity - 1 as int) % 5 + 1 as int)",
+            "price": "p_retailprice",
+            "payment_method": "o_orderpriority",
+            "transaction_status": "case when l_partkey % 97 = 0 then null when l_partkey % 89 = 0 then '' "
+            f"when o_orderstatus = 'F' then '{SUCCESS}' when o_orderstatus = 'O' then '{PENDING}' "
+            f"when o_orderstatus = 'P' then '{FAILED}' end",
+            "timestamp": f"date_format(l_shipdate, '{EVENT_TIME_FORMAT}')",
+        },
     )
-    derived = {
-        "transaction_id": F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", day),
-        "product_id": F.col("p_partkey").cast("string"),
-        "product_name": F.col("p_name"),
-        "category": F.when(F.col("l_partkey") % 101 != 0, F.col("p_type")),
-        "quantity": ((F.col("l_quantity") - 1).cast("int") % 5 + 1).cast("int"),
-        "price": F.col("p_retailprice"),
-        "payment_method": F.col("o_orderpriority"),
-        "transaction_status": status,
-        "timestamp": F.date_format("l_shipdate", EVENT_TIME_FORMAT),
-    }
-    return lines.select(*[derived.get(name, F.col(name)).alias(name) for name in RECORD_FIELDS])
 
 
 def tx(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,28 +102,30 @@ def event_records(
     spark: SparkSession, sf_dir: str, since: str | None = None, until: str | None = None
 ) -> DataFrame:
     """The record fields, one row per event, optionally of the days from ``since`` to before ``until``."""
-    buyers = _buyers(spark, sf_dir).withColumnRenamed("user_id", "buyer_id")
+    buyers = _buyers(spark, sf_dir)
     events = _table(spark, sf_dir, "events")
     if since is not None:
-        events = events.filter(F.col("ts") >= F.lit(since).cast("timestamp_ntz"))
+        events = events.filter(f"ts >= timestamp_ntz '{since}'")
     if until is not None:
-        events = events.filter(F.col("ts") < F.lit(until).cast("timestamp_ntz"))
-    events = events.join(buyers, F.col("user_id") == F.col("c_custkey"))
-    key = F.get_json_object("props", "$.k").cast("bigint")
-    tenth = F.col("event_id") % 10
-    derived = {
-        "transaction_id": F.col("event_id").cast("string"),
-        "user_id": F.col("buyer_id"),
-        "product_id": key.cast("string"),
-        "product_name": key.cast("string"),
-        "category": F.col("event_type"),
-        "quantity": (key % 5 + 1).cast("int"),
-        "price": F.col("value"),
-        "payment_method": _pick(key % 5, _PAYMENT_METHODS),
-        "transaction_status": F.when(tenth < 7, SUCCESS).when(tenth < 9, FAILED).otherwise(PENDING),
-        "timestamp": F.date_format("ts", EVENT_TIME_FORMAT),
-    }
-    return events.select(*[derived.get(name, F.col(name)).alias(name) for name in RECORD_FIELDS])
+        events = events.filter(f"ts < timestamp_ntz '{until}'")
+    events = events.withColumn("k", F.get_json_object("props", "$.k").cast("bigint"))
+    return _records(
+        events.join(buyers, events.user_id == buyers.c_custkey),
+        {
+            "transaction_id": "cast(event_id as string)",
+            "user_id": "buyer_id",
+            "product_id": "cast(k as string)",
+            "product_name": "cast(k as string)",
+            "category": "event_type",
+            "quantity": "cast(k % 5 + 1 as int)",
+            "price": "value",
+            "payment_method": "case k % 5 when 0 then 'Credit Card' when 1 then 'Debit Card' "
+            "when 2 then 'UPI' when 3 then 'Net Banking' else 'COD' end",
+            "transaction_status": f"case when event_id % 10 < 7 then '{SUCCESS}' "
+            f"when event_id % 10 < 9 then '{FAILED}' else '{PENDING}' end",
+            "timestamp": f"date_format(ts, '{EVENT_TIME_FORMAT}')",
+        },
+    )
 
 
 def event_tx(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -59,15 +59,15 @@ def parse_json_irregular(spark, sf_dir):
         )
     )
     half = F.to_json(F.struct("transaction_id", (F.col("quantity") + 0.5).alias("quantity"), "price"))
+    # Inline, so that a row builds the one text it needs.
     text = (
-        F.when(F.col("quantity") == 1, F.expr("left(whole, length(whole) - 8)"))
-        .when(F.col("quantity") == 2, F.col("mistyped"))
-        .when(F.col("quantity") == 3, F.col("half"))
-        .when(F.col("quantity") == 4, F.concat(F.expr("left(whole, length(whole) - 1)"), F.lit(',"test":true}')))
+        F.when(F.col("quantity") == 1, F.substr(whole, F.lit(1), F.length(whole) - 8))
+        .when(F.col("quantity") == 2, mistyped)
+        .when(F.col("quantity") == 3, half)
+        .when(F.col("quantity") == 4, F.regexp_replace(whole, r"\}$", ',"test":true}'))
         .otherwise(F.lit(""))
     )
-    texts = records.select("quantity", whole.alias("whole"), mistyped.alias("mistyped"), half.alias("half"))
-    flat = decode.flatten_payload(decode.parse_json(texts.select(text.alias("json"))))
+    flat = decode.flatten_payload(decode.parse_json(records.select(text.alias("json"))))
     return flat.select("transaction_id", "category", "quantity", "price", "timestamp")
 
 
@@ -121,7 +121,7 @@ def clustered_geo(spark, sf_dir):
 
 def batch_lookup(spark, sf_dir):
     store = FileStore(scratch_folder(spark, "lookup"))
-    rows = replay.replay_tables(event_tx(spark, sf_dir), DAY_SECONDS, EXACT)["category_metrics"]
+    rows = replay.replay(event_tx(spark, sf_dir), "category_metrics", DAY_SECONDS, EXACT)
     store.replace_batches(rows, "category_metrics")
     return store.lookup(spark, "category_metrics", LOOKUP_DAY)
 
@@ -166,7 +166,7 @@ def _on_tx(operator, **parameters) -> Query:
 
 
 def _interval(spark, sf_dir, table, width=DAY_SECONDS):
-    return replay.replay_tables(event_tx(spark, sf_dir), width, EXACT)[table]
+    return replay.replay(event_tx(spark, sf_dir), table, width, EXACT)
 
 
 def daily_unique_merged(spark, sf_dir):
@@ -195,14 +195,14 @@ LANDINGS = [
 ]
 
 
-class _StreamRun:
+class StreamRun:
     """The event stream, run once per session and folder; the stream queries read its tables.
 
     Each landing is written and then taken up by a run of the query, so each is one micro-batch,
     and each run but the first is a restart from the checkpoint.
     """
 
-    runs: dict[tuple[str, str], _StreamRun] = {}
+    runs: dict[tuple[str, str], StreamRun] = {}
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         folder = scratch_folder(spark, "stream")
@@ -218,7 +218,7 @@ class _StreamRun:
         job.wait(job.start(raw, on_batch, self.checkpoint, available_now=True))
 
     @classmethod
-    def of(cls, spark: SparkSession, sf_dir: str) -> _StreamRun:
+    def of(cls, spark: SparkSession, sf_dir: str) -> StreamRun:
         key = (spark.sparkContext.applicationId, sf_dir)
         if key not in cls.runs:
             cls.runs[key] = cls(spark, sf_dir)
@@ -226,7 +226,7 @@ class _StreamRun:
 
 
 def _stream_table(spark, sf_dir, table):
-    rows = _StreamRun.of(spark, sf_dir).store.read(spark, table)
+    rows = StreamRun.of(spark, sf_dir).store.read(spark, table)
     return rows.drop("stream_id", "batch_time", "logged_at", "alert_time")
 
 
@@ -238,7 +238,7 @@ def stream_ingest(spark, sf_dir):
 
 
 def stream_restart(spark, sf_dir):
-    run = _StreamRun.of(spark, sf_dir)
+    run = StreamRun.of(spark, sf_dir)
     run.take_up(spark)
     rows = run.store.read(spark, "transactions")
     return rows.agg(F.count_distinct("batch_id").alias("batches"), F.count(F.lit(1)).alias("transactions"))

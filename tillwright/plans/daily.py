@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 from tillwright.functions.measures import (
     APPROXIMATE,
-    EXACT,
     cents,
+    distinct_values,
     percentage,
     settled_value,
     status_is,
@@ -25,19 +25,16 @@ def _date_text(rows: DataFrame) -> DataFrame:
     return rows.select(F.col("day").cast("string").alias("date"), *others)
 
 
-def _day_grain(tx: DataFrame, sketch_users: bool) -> DataFrame:
+def _day_grain(tx: DataFrame) -> DataFrame:
     """Additive sums per (day, category, country): the one pass over the rows."""
-    sums = [
+    return tx.groupBy(_day(), "category", "country").agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(status_is(SUCCESS)).alias("n_success"),
         F.count_if(status_is(FAILED)).alias("n_failed"),
         F.count("transaction_value").alias("n_value"),
         F.sum("transaction_value").alias("value"),
         F.sum(settled_value()).alias("settled"),
-    ]
-    if sketch_users:
-        sums.append(F.hll_sketch_agg("user_id").alias("users"))
-    return tx.groupBy(_day(), "category", "country").agg(*sums)
+    )
 
 
 def _top(name: str, revenue: str, level: Column) -> Column:
@@ -51,17 +48,20 @@ def _top(name: str, revenue: str, level: Column) -> Column:
 def daily_aggregates(tx: DataFrame, distinct: str = APPROXIMATE) -> DataFrame:
     """One row per day with totals, rates, distinct customers, top category and top country.
 
-    The rows are read once and shrink to (day, category, country) before the first shuffle; the
-    three levels needed above that are grouping sets over this small table. ``exact`` counts
-    customers in a second aggregate, which shuffles the distinct (day, user) pairs.
+    The rows shrink to (day, category, country) before the first shuffle; the three levels needed
+    above that are grouping sets over this small table. Customers are counted in an aggregate of
+    their own, which reads two columns: distinct counts do not add up from a finer grain, and
+    sketches of a finer grain outweigh a second scan.
     """
-    grain = _day_grain(tx, sketch_users=distinct == APPROXIMATE)
     day, category, country = F.col("day"), F.col("category"), F.col("country")
-    sums = [F.sum(name).alias(name) for name in ("n", "n_success", "n_failed", "n_value", "value", "settled")]
-    if distinct == APPROXIMATE:
-        sums.append(F.hll_union_agg("users").alias("users"))
-    levels = grain.groupingSets([[day], [day, category], [day, country]], day, category, country).agg(
-        *sums, F.grouping("category").alias("no_category"), F.grouping("country").alias("no_country")
+    levels = (
+        _day_grain(tx)
+        .groupingSets([[day], [day, category], [day, country]], day, category, country)
+        .agg(
+            *[F.sum(n).alias(n) for n in ("n", "n_success", "n_failed", "n_value", "value", "settled")],
+            F.grouping("category").alias("no_category"),
+            F.grouping("country").alias("no_country"),
+        )
     )
     whole = (F.col("no_category") == 1) & (F.col("no_country") == 1)
     by_category, by_country = F.col("no_category") == 0, F.col("no_country") == 0
@@ -69,7 +69,7 @@ def daily_aggregates(tx: DataFrame, distinct: str = APPROXIMATE) -> DataFrame:
     def total(name: str) -> Column:
         return F.max(F.when(whole, F.col(name)))
 
-    columns = [
+    days = levels.groupBy("day").agg(
         total("n").alias("total_transactions"),
         cents(total("settled")).alias("total_revenue"),
         cents(F.try_divide(total("value"), total("n_value"))).alias("avg_transaction_value"),
@@ -78,15 +78,12 @@ def daily_aggregates(tx: DataFrame, distinct: str = APPROXIMATE) -> DataFrame:
         percentage(total("n_success"), total("n")).alias("success_rate"),
         _top("category", "value", by_category).alias("top_category"),
         _top("country", "settled", by_country).alias("top_country"),
-    ]
-    if distinct == APPROXIMATE:
-        columns.append(F.hll_sketch_estimate(total("users")).alias("unique_customers"))
-    days = levels.groupBy("day").agg(*columns)
-    if distinct == EXACT:
-        users = tx.groupBy(_day()).agg(F.count_distinct("user_id").alias("unique_customers"))
-        users = users.withColumnRenamed("day", "user_day")
-        days = days.join(users, F.col("day").eqNullSafe(F.col("user_day"))).drop("user_day")
-    return _date_text(days)
+    )
+    users = tx.groupBy(_day().alias("user_day")).agg(
+        distinct_values("user_id", distinct).alias("unique_customers")
+    )
+    # Rows without an event time form a day of their own, as null.
+    return _date_text(days.join(users, F.col("day").eqNullSafe(F.col("user_day"))).drop("user_day"))
 
 
 def top_category(tx: DataFrame) -> DataFrame:

@@ -25,22 +25,42 @@ def with_batch_time(rows: DataFrame, width_seconds: int) -> DataFrame:
     return rows.withColumn("batch_time", interval_start("batch_id", width_seconds))
 
 
-def replay_tables(
+# The result tables a replay makes, with whether they carry the batch time.
+REPLAYED = {
+    "transaction_metrics": True,
+    "user_metrics": True,
+    "category_metrics": True,
+    "payment_metrics": True,
+    "geo_metrics": True,
+    "failed_transactions": False,
+    "high_value_alerts": False,
+}
+
+
+def replay(
     tx: DataFrame,
+    table: str,
     width_seconds: int,
     distinct: str = APPROXIMATE,
     threshold: float = HIGH_VALUE_THRESHOLD,
-) -> dict[str, DataFrame]:
-    """The seven result tables by ``batch_id``, each a plan of its own that reads its columns only."""
+) -> DataFrame:
+    """One result table by ``batch_id``, as a plan that reads the columns of this table only."""
     batches = with_batch(tx, width_seconds)
-    tables = {
-        "transaction_metrics": metrics.transaction_metrics(batches, BATCH),
-        "user_metrics": metrics.user_metrics(batches, BATCH, distinct),
-        "category_metrics": metrics.category_metrics(batches, BATCH, distinct),
-        "payment_metrics": metrics.payment_metrics(batches, BATCH),
-        "geo_metrics": metrics.geo_metrics(batches, BATCH, distinct),
-    }
-    tables = {name: with_batch_time(rows, width_seconds) for name, rows in tables.items()}
-    tables["failed_transactions"] = logs.failed_log(batches, BATCH)
-    tables["high_value_alerts"] = logs.high_value_alerts(batches, BATCH, threshold)
-    return tables
+    match table:
+        case "transaction_metrics":
+            rows = metrics.transaction_metrics(batches, BATCH)
+        case "user_metrics":
+            rows = metrics.user_metrics(batches, BATCH, distinct)
+        case "category_metrics":
+            rows = metrics.category_metrics(batches, BATCH, distinct)
+        case "payment_metrics":
+            rows = metrics.payment_metrics(batches, BATCH)
+        case "geo_metrics":
+            rows = metrics.geo_metrics(batches, BATCH, distinct)
+        case "failed_transactions":
+            rows = logs.failed_log(batches, BATCH)
+        case "high_value_alerts":
+            rows = logs.high_value_alerts(batches, BATCH, threshold)
+        case _:
+            raise ValueError(f"no replay makes the table {table!r}; there are {', '.join(REPLAYED)}")
+    return with_batch_time(rows, width_seconds) if REPLAYED[table] else rows
