@@ -1,8 +1,9 @@
 """Transaction views over the test tables (FIXTURES.md).
 
-Which small side to broadcast is left to the optimizer's size check. The one join of two large
-tables asks for a sort-merge join, which spills and splits skewed keys at any size: the check goes
-by compressed file sizes, and may broadcast a table that is several times as large in memory.
+Which small side to broadcast is left to the optimizer's size check. The joins of the two large
+tables, lineitem and events, ask for a sort-merge join, which spills and splits skewed keys at any
+size: the check goes by compressed file sizes, and may broadcast a table that is several times as
+large in memory.
 """
 
 from __future__ import annotations
@@ -110,7 +111,7 @@ def event_records(
         events = events.filter(f"ts < timestamp_ntz '{until}'")
     events = events.withColumn("k", F.get_json_object("props", "$.k").cast("bigint"))
     return _records(
-        events.join(buyers, events.user_id == buyers.c_custkey),
+        events.hint("merge").join(buyers, events.user_id == buyers.c_custkey),
         {
             "transaction_id": "cast(event_id as string)",
             "user_id": "buyer_id",

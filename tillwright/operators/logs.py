@@ -81,17 +81,16 @@ def zero_success(metrics: DataFrame) -> DataFrame:
 
 
 def zero_success_statuses(tx: DataFrame, keys: Sequence[str] = ("batch_id",)) -> DataFrame:
-    """The statuses that occur in each alarmed batch, for all batches in one job.
+    """The statuses of each alarmed batch with their row counts, for all batches in one job.
 
     Rows are reduced to one per (batch, status) first, so what the semi join moves does not grow
-    with the rows of a batch.
+    with the rows of a batch. Both its sides start from this same aggregate, counts included, so
+    the rows are read and shuffled once.
     """
     statuses = status_breakdown(tx, keys)
     totals = statuses.groupBy(*keys).agg(
         F.sum("count").alias("total_transactions"),
-        F.coalesce(F.sum(F.when(status_is(SUCCESS), F.col("count"))), F.lit(0)).alias(
-            "successful_transactions"
-        ),
+        F.sum(F.when(status_is(SUCCESS), F.col("count")).otherwise(0)).alias("successful_transactions"),
     )
     alarmed = zero_success(totals.withColumn("success_rate_percentage", success_rate()))
-    return statuses.join(alarmed.select(*keys), list(keys), "left_semi").select(*keys, "transaction_status")
+    return statuses.join(alarmed.select(*keys), list(keys), "left_semi")

@@ -98,7 +98,7 @@ def transaction_value(spark, sf_dir):
 def raw_transactions(spark, sf_dir):
     store = FileStore(scratch_folder(spark, "raw"))
     store.append(tx(spark, sf_dir), "transactions")
-    return store.read(spark, "transactions")
+    return store.read(spark, "transactions").drop("processed_at")
 
 
 def latest_by_key(spark, sf_dir):
@@ -226,8 +226,8 @@ class StreamRun:
 
 
 def _stream_table(spark, sf_dir, table):
-    rows = StreamRun.of(spark, sf_dir).store.read(spark, table)
-    return rows.drop("stream_id", "batch_time", "logged_at", "alert_time")
+    rows = StreamRun.of(spark, sf_dir).store.read(spark, table, STREAM_ID)
+    return rows.drop("batch_time", "logged_at", "alert_time")
 
 
 def stream_ingest(spark, sf_dir):
@@ -240,7 +240,7 @@ def stream_ingest(spark, sf_dir):
 def stream_restart(spark, sf_dir):
     run = StreamRun.of(spark, sf_dir)
     run.take_up(spark)
-    rows = run.store.read(spark, "transactions")
+    rows = run.store.read(spark, "transactions", STREAM_ID)
     return rows.agg(F.count_distinct("batch_id").alias("batches"), F.count(F.lit(1)).alias("transactions"))
 
 

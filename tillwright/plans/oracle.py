@@ -308,9 +308,10 @@ FROM batches GROUP BY batch_id, country, city""",
         ),
         "zero_success_statuses": _replay(
             f"""
-            SELECT DISTINCT batch_id, transaction_status FROM batches WHERE batch_id IN (
+            SELECT batch_id, transaction_status, count(*) AS "count" FROM batches WHERE batch_id IN (
               SELECT batch_id FROM (SELECT batch_id, {_STATS.strip()} FROM batches GROUP BY batch_id)
-              WHERE success_rate_percentage = 0)""",
+              WHERE success_rate_percentage = 0)
+            GROUP BY batch_id, transaction_status""",
             10,
         ),
         "status_tally": _tx(f"""

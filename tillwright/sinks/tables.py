@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from typing import Protocol
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
 from tillwright.schema import TABLES
@@ -71,26 +71,26 @@ class FileStore:
             .save(self.path(table))
         )
 
-    def read(self, spark: SparkSession, table: str) -> DataFrame:
-        """All batches, with the folder names as columns."""
-        columns = TABLES[table].columns
-        rows = spark.read.format(self.fmt).options(**self.options).load(self.path(table))
-        if "batch_id" not in rows.columns:
-            return rows
-        # A folder name is typed by its look; the table says what it is.
-        return rows.withColumn("batch_id", F.col("batch_id").cast(columns.get("batch_id", "bigint")))
+    def read(self, spark: SparkSession, table: str, stream_id: str | None = None) -> DataFrame:
+        """All batches, of one stream or of a table written without streams."""
+        stream = f"/stream_id={stream_id}" if stream_id is not None else ""
+        return self._reader(spark, table, stream_id).load(self.path(table) + stream)
 
     def lookup(
         self, spark: SparkSession, table: str, batch_id: int, stream_id: str | None = None
     ) -> DataFrame:
-        """The rows of one batch, read from its folder: no listing of the other batches."""
-        rows = (
-            spark.read.format(self.fmt)
-            .options(**self.options)
-            .option("basePath", self.path(table))
-            .load(self.batch_path(table, batch_id, stream_id))
-        )
-        return rows.withColumn("batch_id", F.col("batch_id").cast("bigint"))
+        """The rows of one batch, read from its folder: the other batches are not even listed."""
+        folder = self.batch_path(table, batch_id, stream_id)
+        base = folder.rsplit("/", 1)[0]
+        return self._reader(spark, table, stream_id).option("basePath", base).load(folder)
+
+    def _reader(self, spark: SparkSession, table: str, stream_id: str | None) -> DataFrameReader:
+        # Declared, not inferred: no footer is read up front and ids keep their types.
+        columns = dict(TABLES[table].columns)
+        if stream_id is not None:
+            columns.setdefault("batch_id", "bigint")
+        schema = ", ".join(f"`{name}` {dtype}" for name, dtype in columns.items())
+        return spark.read.format(self.fmt).options(**self.options).schema(schema)
 
 
 class ConnectorStore:

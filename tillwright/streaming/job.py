@@ -13,6 +13,10 @@ from tillwright.schema import EVENT_TIME_FORMAT, TRIGGER_INTERVAL
 from tillwright.session import configure
 from tillwright.sources.decode import decode_transactions
 
+_STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+_HEAP_STORE = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+_DISK_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 def drop_repeats(tx: DataFrame, within: str) -> DataFrame:
     """Drop repeated transaction ids that arrive within a span of event time, as senders' retries do.
@@ -48,6 +52,10 @@ def start(
     configure(raw.sparkSession)
     tx = decode_transactions(raw, event_time_format)
     if drop_repeats_within:
+        # State on local disk instead of the executor heap, unless the session chose a store.
+        conf = raw.sparkSession.conf
+        if conf.get(_STATE_STORE) == _HEAP_STORE:
+            conf.set(_STATE_STORE, _DISK_STORE)
         tx = drop_repeats(tx, drop_repeats_within)
     trigger = {"availableNow": True} if available_now else {"processingTime": interval}
     writer = (
