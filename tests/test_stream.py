@@ -242,6 +242,50 @@ def test_folder_as_a_table(spark, shop):
     assert folder_table(spark, shop.landing).count() == 2
 
 
+def test_a_later_record_of_a_transaction_replaces_it(spark, shop):
+    shop.land(sale("a", "Pending"), sale("b"))
+    shop.run()
+    shop.land(sale("a", "Success"), sale("a", "Failed"))
+    shop.run()
+    assert shop.table("transactions").count() == 4
+    got = {(r["transaction_id"], r["batch_id"], r["transaction_status"]) for r in shop.store.latest(
+        spark, "transactions", "shop").collect()}
+    assert got == {("a", 1, "Success"), ("b", 0, "Success")}
+
+
+def test_job_script(spark, shop, monkeypatch):
+    """The script's wiring, with a folder for the topic."""
+    from tillwright import __main__ as script
+
+    shop.land(sale("a", price=70.0), sale("b", price=40.0))
+    monkeypatch.setattr(script, "topic_stream", lambda spark, *_: folder_stream(spark, shop.landing))
+    start = job.start
+    monkeypatch.setattr(job, "start", lambda *args, **more: start(*args, **{**more, "available_now": True}))
+    script.main(
+        ["--servers", "b:1", "--tables", shop.store.root, "--checkpoint", shop.checkpoint]
+        + ["--stream-id", "shop", "--threshold", "50", "--option", "compression=gzip"]
+    )
+    assert ids(shop.table("high_value_alerts")) == [(0, "a")]
+    assert all(file.endswith(".gz.parquet") for file in shop.table("transactions").inputFiles())
+
+
+def test_published_topic_options(spark, shop):
+    from pyspark.sql import DataFrameWriter
+
+    from tillwright.sinks.publish import publish_topic
+
+    given = {}
+
+    def option(writer, name, value):
+        given[name] = value
+        return writer
+
+    records = spark.createDataFrame([("{}",)], "value string")
+    with mock.patch.object(DataFrameWriter, "option", option), mock.patch.object(DataFrameWriter, "save"):
+        publish_topic(records, "broker:9092", "sales", {"kafka.linger.ms": "10"})
+    assert given == {"kafka.bootstrap.servers": "broker:9092", "topic": "sales"}
+
+
 def test_topic_options(spark):
     """No Kafka package here: the options are checked, the source is not run."""
     from pyspark.sql.streaming import DataStreamReader

@@ -25,14 +25,19 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_own_folder: str | None = None
+
+
 def scratch_folder(spark: SparkSession, label: str) -> str:
     """A fresh folder that every executor can reach.
 
     It lies in the folder the cluster names in ``spark.checkpoint.dir``. Only where that is
-    unset, as in tests on one machine, is a temporary folder made and set in its place.
+    unset, as in tests on one machine, is it in a temporary folder of this machine.
     """
+    global _own_folder
     shared = spark.conf.get("spark.checkpoint.dir", None)
+    shared = shared or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not shared:
-        shared = tempfile.mkdtemp(prefix="tillwright-")
-        spark.conf.set("spark.checkpoint.dir", shared)
+        _own_folder = _own_folder or tempfile.mkdtemp(prefix="tillwright-")
+        shared = _own_folder
     return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -8,6 +8,7 @@ from typing import Protocol
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
+from tillwright.operators.keyed import latest_by_key
 from tillwright.schema import TABLES
 
 
@@ -76,6 +77,15 @@ class FileStore:
         stream = f"/stream_id={stream_id}" if stream_id is not None else ""
         return self._reader(spark, table, stream_id).load(self.path(table) + stream)
 
+    def latest(self, spark: SparkSession, table: str, stream_id: str) -> DataFrame:
+        """One row per key of the table, the last one written: what a keyed store would hold.
+
+        Rows of equal key in one batch have no order of writing; the greatest in column order wins.
+        """
+        rows = self.read(spark, table, stream_id)
+        others = [name for name in rows.columns if name != "batch_id"]
+        return latest_by_key(rows, TABLES[table].key, ["batch_id", *others])
+
     def lookup(
         self, spark: SparkSession, table: str, batch_id: int, stream_id: str | None = None
     ) -> DataFrame:
