@@ -6,7 +6,7 @@ import logging
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame, Row
@@ -36,7 +36,7 @@ class BatchTables:
         distinct: str = APPROXIMATE,
         threshold: float = HIGH_VALUE_THRESHOLD,
         on_summary: Callable[[int, dict], None] | None = None,
-        parallel_writes: int = 4,
+        parallel_writes: int = 8,
     ):
         self.store, self.stream_id = store, stream_id
         self.distinct, self.threshold = distinct, threshold
@@ -45,14 +45,61 @@ class BatchTables:
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            if batch.isEmpty():
+            # The metrics row comes first: it fills the persisted batch for all the other tables,
+            # and tells whether there is anything to do.
+            totals = metrics.transaction_metrics(batch)
+            row = totals.first()
+            if row["total_transactions"] == 0:
                 log.info("batch %d: no records", batch_id)
                 return
-            self._process(batch, batch_id)
+            tables = self._tables(batch)
+            tables["transaction_metrics"] = lambda: batch.sparkSession.createDataFrame([row], totals.schema)
+            if row["success_rate_percentage"] == 0.0:
+                log.warning("batch %d: no successful transaction", batch_id)
+                tables["zero_success_statuses"] = lambda: logs.distinct_statuses(batch)
+            self._write(batch, batch_id, tables)
+            self._report(batch, batch_id, row)
         finally:
             batch.unpersist()
 
-    def _process(self, batch: DataFrame, batch_id: int) -> None:
+    def _tables(self, batch: DataFrame) -> dict[str, Callable[[], DataFrame]]:
+        """How to build each table from the batch, but for its metrics row."""
+        keyed = {
+            "transactions": lambda: batch,
+            "category_metrics": lambda: metrics.category_metrics(batch, distinct=self.distinct),
+            "payment_metrics": lambda: metrics.payment_metrics(batch),
+            "geo_metrics": lambda: metrics.geo_metrics(batch, distinct=self.distinct),
+            "failed_transactions": lambda: logs.failed_log(batch),
+            "high_value_alerts": lambda: logs.high_value_alerts(batch, threshold=self.threshold),
+        }
+
+        def split(table: str) -> tuple[DataFrame, DataFrame, list[str]]:
+            key = [name for name in TABLES[table].key if name != "batch_id"]
+            kept, unkeyed = split_on_key(keyed[table](), key)
+            return kept, unkeyed, key
+
+        def kept(table: str) -> DataFrame:
+            rows, _, key = split(table)
+            return rows if table == "transactions" else rows.sortWithinPartitions(*key)
+
+        def rejected() -> DataFrame:
+            # A null test on a grouping column moves below the aggregate, so the rejects cost a
+            # filtered scan of the persisted batch, not a second aggregation of it.
+            parts = {table: split(table)[1] for table in keyed}
+            shaped = [
+                rejects(rows, table, [name for name in rows.columns if name != "reason"])
+                for table, rows in parts.items()
+            ]
+            return reduce(DataFrame.unionByName, shaped)
+
+        return {
+            **{table: partial(kept, table) for table in keyed},
+            "user_metrics": lambda: metrics.user_metrics(batch, distinct=self.distinct),
+            "rejected_rows": rejected,
+        }
+
+    def _write(self, batch: DataFrame, batch_id: int, tables: dict[str, Callable[[], DataFrame]]) -> None:
+        """Write the tables side by side, so that none waits for another's last task."""
         # One clock value for all tables of the batch.
         now = datetime.now(timezone.utc)
         stamps = {
@@ -60,46 +107,13 @@ class BatchTables:
             **{name: F.lit(now) for name in ("batch_time", "logged_at", "alert_time")},
         }
 
-        def write(table: str, rows: DataFrame) -> None:
-            rows = conform(rows.withColumns(stamps), table)
+        def write(table: str, build: Callable[[], DataFrame]) -> None:
+            rows = conform(build().withColumns(stamps), table)
             self.store.replace_batch(rows, table, self.stream_id, batch_id)
 
-        keyed = {
-            "category_metrics": lambda tx: metrics.category_metrics(tx, distinct=self.distinct),
-            "payment_metrics": metrics.payment_metrics,
-            "geo_metrics": lambda tx: metrics.geo_metrics(tx, distinct=self.distinct),
-            "failed_transactions": logs.failed_log,
-            "high_value_alerts": lambda tx: logs.high_value_alerts(tx, threshold=self.threshold),
-            "transactions": lambda tx: tx,
-        }
-        frames, rejected = {}, []
-        for table, build in keyed.items():
-            key = [name for name in TABLES[table].key if name != "batch_id"]
-            rows = build(batch)
-            # A null test on a grouping column moves below the aggregate, so the rejects cost a
-            # filtered scan of the persisted batch, not a second aggregation of it.
-            kept, unkeyed = split_on_key(rows, key)
-            frames[table] = kept.sortWithinPartitions(*key) if table != "transactions" else kept
-            rejected.append(rejects(unkeyed, table, rows.columns))
-        frames["rejected_rows"] = reduce(DataFrame.unionByName, rejected)
-        frames["user_metrics"] = metrics.user_metrics(batch, distinct=self.distinct)
-
-        # The raw write goes first and alone: it fills the persisted batch for all the others.
-        write("transactions", frames.pop("transactions"))
-        totals = metrics.transaction_metrics(batch)
-        row = totals.first()
-        frames["transaction_metrics"] = batch.sparkSession.createDataFrame([row], totals.schema)
-        if row["success_rate_percentage"] == 0.0:
-            log.warning("batch %d: no successful transaction", batch_id)
-            frames["zero_success_statuses"] = logs.distinct_statuses(batch)
-        self._write_all(batch, write, frames)
-        self._report(batch, batch_id, row)
-
-    def _write_all(self, batch: DataFrame, write: Callable, frames: dict[str, DataFrame]) -> None:
-        """Submit the remaining writes together, so that no table waits for another's last task."""
         task = inheritable_thread_target(batch.sparkSession)(write)
         with ThreadPoolExecutor(self.parallel_writes) as pool:
-            writes = [pool.submit(task, table, rows) for table, rows in frames.items()]
+            writes = [pool.submit(task, table, build) for table, build in tables.items()]
         for done in writes:
             done.result()
 
