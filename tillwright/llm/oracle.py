@@ -1,0 +1,80 @@
+"""SQL for DuckDB with the same rows, for the queries of this package that SQL can express.
+
+None for the others: learned models (4, 8), spans that a validator and context decide (2), permutations
+(5), byte-level tokens (7) and HTML (10) are held against brute force in tests/llm.
+"""
+
+from __future__ import annotations
+
+_RULES = "(VALUES ('allow','com','/'),('block','example.com','/en/'),('allow','www.example.com','/en/'),('block','net','/es/'),('block','net','/fr/'))"
+
+SQL = {
+    "op1_url_filters": rf"""
+        WITH parts AS (
+            SELECT row_number() OVER () AS r, page_id,
+                translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 1),
+                    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 2) AS path
+            FROM pages),
+        rules AS (SELECT * FROM {_RULES} AS t(verdict, rule_host, rule_path)),
+        best AS (
+            SELECT r, max_by(rule_host || rule_path, length(rule_host || rule_path)) AS rule,
+                max_by(verdict, length(rule_host || rule_path)) AS verdict
+            FROM parts JOIN rules ON (host = rule_host OR suffix(host, '.' || rule_host)) AND starts_with(path, rule_path)
+            GROUP BY r)
+        SELECT page_id, host, path, rule,
+            coalesce(verdict, CASE WHEN regexp_matches(host, '(^|[^a-z0-9])(casino|cheap|pills|porn|spam|viagra|xxx)($|[^a-z0-9])')
+                THEN 'block' ELSE 'allow' END) AS verdict
+        FROM parts LEFT JOIN best USING (r)""",
+    "op3_minhash": r"""
+        WITH RECURSIVE words AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        sets AS (
+            SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) = 1 THEN w
+                ELSE list_distinct([w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))]) END AS s FROM words),
+        each AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
+        shared AS (
+            SELECT x.doc_id AS a, y.doc_id AS b, any_value(x.n) AS na, any_value(y.n) AS nb, count(*) AS c
+            FROM each x JOIN each y ON x.g = y.g AND x.doc_id < y.doc_id
+                AND 100 * least(x.n, y.n) >= 80 * greatest(x.n, y.n) GROUP BY 1, 2),
+        links AS (
+            SELECT a, b FROM shared WHERE 100 * c >= 80 * (na + nb - c)
+            UNION ALL SELECT b, a FROM shared WHERE 100 * c >= 80 * (na + nb - c)),
+        reached AS (
+            SELECT doc_id AS a, doc_id AS b FROM documents
+            UNION SELECT reached.a, links.b FROM reached JOIN links ON reached.b = links.a)
+        SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
+        FROM sets JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reached GROUP BY a) USING (doc_id)""",
+    "op6_quality_rules": r"""
+        WITH words AS (
+            SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+                list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
+            FROM documents),
+        each AS (
+            SELECT doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g
+            FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM words)),
+        again AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, g) AS c FROM each) WHERE c > 1),
+        inside AS (
+            SELECT doc_id, count(DISTINCT i + shift) AS n FROM again, (VALUES (0), (1), (2)) AS s(shift) GROUP BY doc_id),
+        m AS (
+            SELECT doc_id, len(w) AS n_words, coalesce(list_sum([length(x) FOR x IN w]), 0)::BIGINT AS word_chars,
+                length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+                len(l) - len(list_distinct(l)) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words, len(l) AS n_lines,
+                length(regexp_replace(t, '[^A-Z]', '', 'g')) AS n_upper,
+                len(regexp_extract_all(t, '!!( |\n)')) AS n_shouted, len(list_filter(w, lambda x: x = '|')) AS n_bars
+            FROM words LEFT JOIN inside USING (doc_id)),
+        f AS (
+            SELECT *, (n_words < 50)::BIGINT + 2 * (100 * n_repeat_words > 50 * n_words)::BIGINT
+                + 4 * (100 * n_symbols > 10 * word_chars)::BIGINT
+                + 8 * (n_lines >= 4 AND 100 * n_dup_lines > 30 * n_lines)::BIGINT
+                + 16 * (word_chars > 20 * n_words)::BIGINT + 32 * (word_chars < 2 * n_words)::BIGINT
+                + 64 * (100 * n_upper > 40 * word_chars)::BIGINT + 128 * (100 * n_shouted > 30 * n_words)::BIGINT
+                + 256 * (100 * n_bars > 15 * n_words)::BIGINT AS failed_bits FROM m)
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+            failed_bits & 3 != 0 AS base_failed, failed_bits = 0 AS kept, failed_bits FROM f""",
+    "op9_exact_dedup": r"""
+        WITH n AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS h FROM documents)
+        SELECT doc_id, min(doc_id) OVER (PARTITION BY h) AS keep_id, count(*) OVER (PARTITION BY h) AS group_size,
+            doc_id = min(doc_id) OVER (PARTITION BY h) AS kept, h AS text_sha256 FROM n""",
+}
