@@ -142,7 +142,8 @@ def mixed_parts(placed: DataFrame, totals: DataFrame, block_words: int = BLOCK_W
     drawn = drawn.select(F.col("source").alias("_s"), F.col("block").alias("_b"), "_n")
     same = F.col("source").eqNullSafe(F.col("_s")) & (F.col("_block") == F.col("_b"))
     times = F.coalesce("_n", F.lit(0)).cast("long").alias("times")
-    return parts.join(drawn, same, "left").select(*placed.columns, "from", "to", times)
+    # Spark cannot see that a few sources make many slots, and would send them all to every task.
+    return parts.join(drawn.hint("merge"), same, "left").select(*placed.columns, "from", "to", times)
 
 
 def mix(docs: DataFrame, block_words: int = BLOCK_WORDS, seed: int = SEED) -> DataFrame:
