@@ -1,6 +1,5 @@
 """The registered queries against brute force over whole tables, and their SQL."""
 
-import hashlib
 import zlib
 from collections import Counter, defaultdict
 
@@ -56,7 +55,7 @@ def test_mix_is_near_its_targets(spark, docs):
         assert r["target"] == pytest.approx(target[s]) and 0 <= r["taken"] <= 2 * r["size"]
         taken[s] += r["taken"]
     assert all(abs(taken[s] - target[s]) <= 2 * 64 for s in target)
-    assert got == rows(spark, "op5_mix") or sorted(map(str, got)) == sorted(map(str, rows(spark, "op5_mix")))
+    assert sorted(map(str, got)) == sorted(map(str, rows(spark, "op5_mix")))
 
 
 def test_packing_round_trip(spark, docs):
@@ -154,7 +153,7 @@ def test_url_and_sha_of_hand_made_rows(spark, tmp_path):
             (9, "http://cheap-pills.example.org/de"), (9, "http://cheap-pills.example.org/de"), (None, "http://evilcom/"),
         ],
         "page_id long, url string",
-    ).withColumnsRenamed({}).write.parquet(f"{path}/pages.parquet")
+    ).write.parquet(f"{path}/pages.parquet")
     got = [tuple(r) for r in __spark_entry__.queries()["op1_url_filters"](spark, path).collect()]
     assert Counter(got) == Counter(
         [
@@ -171,4 +170,3 @@ def test_url_and_sha_of_hand_made_rows(spark, tmp_path):
             (None, "evilcom", "/", None, "allow"),
         ]
     )
-    assert hashlib.sha256(b"").hexdigest().startswith("e3b0")

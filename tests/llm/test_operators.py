@@ -82,7 +82,7 @@ def test_ledger_policies_and_ablations(spark):
     lenient = quality_rules.Policy("2", ("duplicate_lines",))
     assert quality_rules.apply_policy(rows, lenient).filter("kept").count() == 14
     found = {r.rule: (r.failed, r.failed_alone) for r in quality_rules.ablations(rows).collect()}
-    assert found["few_words"] == (12, 10) or found["few_words"][0] == 12
+    assert found["few_words"][0] == 12 and found["repeated_windows"][0] == 2
     kept = quality_rules.keep_good(odd_docs(spark), lenient)
     assert kept.columns == odd_docs(spark).columns and kept.count() == 14
 
@@ -148,8 +148,8 @@ def test_targets_with_a_null_source_and_empty_sources(spark):
     sizes = spark.createDataFrame([("b", 10), ("a", 1000), (None, 500), ("c", 0)], "source string, source_size long")
     got = {r.source: r.target for r in mixing.targets(sizes).collect()}
     # a, b, c, null weigh 5, 2, 1, 5; b and c are full, a and null share the rest.
-    assert got == {"b": 20.0, "c": 0.0, "a": pytest.approx(1245 - 245 + 122.5, abs=1e9), None: pytest.approx(1000.0, abs=300)}
-    assert sum(got.values()) == pytest.approx(1.5 * 1510)
+    # a and null would get 1122.5 each; null is full at 1000, so a takes the rest.
+    assert got == {"b": 20.0, "c": 0.0, "a": pytest.approx(1245), None: 1000.0}
 
 
 @settings(max_examples=40, deadline=None)
@@ -166,10 +166,9 @@ def test_plans_place_every_piece_once(histogram):
 
 
 def test_bin_completion_beats_best_fit():
-    histogram = {44: 1, 24: 2, 22: 1, 21: 2, 17: 4}
-    assert packing.sequences(packing._best_fit(dict(histogram), 100)) == packing.sequences(packing.plan_packing(histogram, 100)) == 2 or True
-    histogram = {6: 2, 5: 2, 4: 2, 3: 2, 2: 2}
-    assert packing.sequences(packing.plan_packing(histogram, 10)) == 4
+    histogram = {43: 1, 54: 1, 10: 1, 34: 1, 47: 1, 12: 1}
+    assert packing.sequences(packing._best_fit(dict(histogram), 100)) == 3
+    assert packing.sequences(packing.plan_packing(histogram, 100)) == packing.lower_bound(histogram, 100) == 2
 
 
 def test_packing_of_odd_rows(spark):
@@ -289,5 +288,6 @@ def test_html_never_fails(page):
 def test_html_of_odd_rows(spark):
     pages = spark.createDataFrame([(1, "u", PAGE, 3), (1, "u", PAGE, 3), (2, None, None, None), (None, "v", "", 1)], "page_id long, url string, html string, n_chars long")
     got = Counter((r.page_id, r.url, r.n_chars) for r in html_text.extract(pages).collect())
-    assert got == Counter({(1, "u", 68): 2, (2, None, 0): 1, (None, "v", 0): 1}) or sum(got.values()) == 4
+    size = len(html_text.main_text(PAGE))
+    assert got == Counter({(1, "u", size): 2, (2, None, 0): 1, (None, "v", 0): 1})
     assert html_text.extract(pages.limit(0)).count() == 0
