@@ -1,6 +1,6 @@
-"""The streaming job for spark-submit: a topic in, result tables out.
+"""The streaming job for spark-submit: a topic or a folder in, result tables out.
 
-spark-submit --packages <Spark's Kafka package> tillwright/__main__.py \\
+spark-submit --packages <Spark's Kafka package> run_job.py \\
     --servers broker:9092 --topic transactions --tables /shared/tables --checkpoint /shared/checkpoint
 """
 
@@ -12,10 +12,10 @@ import logging
 from pyspark.sql import SparkSession
 
 from tillwright.functions.measures import APPROXIMATE, EXACT
-from tillwright.schema import HIGH_VALUE_THRESHOLD, TRIGGER_INTERVAL
+from tillwright.schema import EVENT_TIME_FORMAT, HIGH_VALUE_THRESHOLD, TRIGGER_INTERVAL
 from tillwright.session import configure
 from tillwright.sinks.tables import ConnectorStore, FileStore
-from tillwright.sources.readers import topic_stream
+from tillwright.sources.readers import folder_stream, topic_stream
 from tillwright.streaming import job
 from tillwright.streaming.batches import BatchTables
 
@@ -27,8 +27,16 @@ def _pair(text: str) -> tuple[str, str]:
 
 def main(arguments: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="tillwright", description="Transaction metrics from a topic.")
-    parser.add_argument("--servers", required=True)
+    source = parser.add_mutually_exclusive_group(required=True)
+    source.add_argument("--servers", help="servers of the topic")
+    source.add_argument("--folder", help="folder of JSON-lines files, instead of a topic")
     parser.add_argument("--topic", default="transactions")
+    parser.add_argument(
+        "--source-option", type=_pair, action="append", default=[], help="name=value of the topic's source"
+    )
+    parser.add_argument("--max-files-per-trigger", type=int)
+    parser.add_argument("--archive-dir", help="where files of the folder go once they are read")
+    parser.add_argument("--event-time-format", default=EVENT_TIME_FORMAT)
     parser.add_argument("--starting-offsets", default="latest")
     parser.add_argument("--max-offsets-per-trigger", type=int)
     parser.add_argument("--min-partitions", type=int)
@@ -40,6 +48,8 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--drop-repeats-within", help="for example '1 hour'; off by default")
     parser.add_argument("--tables", help="root folder of the result tables")
     parser.add_argument("--format", default="parquet", help="file format, or a connector's format")
+    parser.add_argument("--table-option", default="table", help="the connector's option for a table's name")
+    parser.add_argument("--no-stream-id", action="store_true", help="tables behind the connector have no stream_id")
     parser.add_argument("--option", type=_pair, action="append", default=[], help="name=value of the sink")
     options = parser.parse_args(arguments)
 
@@ -49,21 +59,28 @@ def main(arguments: list[str] | None = None) -> None:
     if options.tables:
         store = FileStore(options.tables, options.format, sink_options)
     else:
-        store = ConnectorStore(options.format, sink_options)
-    raw = topic_stream(
-        spark,
-        options.servers,
-        options.topic,
-        options.starting_offsets,
-        options.min_partitions,
-        options.max_offsets_per_trigger,
-    )
+        store = ConnectorStore(options.format, sink_options, options.table_option, not options.no_stream_id)
+    if options.folder:
+        raw = folder_stream(
+            spark, options.folder, options.max_files_per_trigger, archive_dir=options.archive_dir
+        )
+    else:
+        raw = topic_stream(
+            spark,
+            options.servers,
+            options.topic,
+            options.starting_offsets,
+            options.min_partitions,
+            options.max_offsets_per_trigger,
+            dict(options.source_option),
+        )
     on_batch = BatchTables(store, options.stream_id, options.distinct, options.threshold)
     query = job.start(
         raw,
         on_batch,
         options.checkpoint,
         interval=options.interval,
+        event_time_format=options.event_time_format,
         drop_repeats_within=options.drop_repeats_within,
         name=options.stream_id,
     )

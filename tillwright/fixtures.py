@@ -18,6 +18,7 @@ from tillwright.sources.decode import derive
 TX_DOMAINS = {
     "age": (18, 65),
     "gender": ["Male", "Female", "Other"],
+    "product_name": ["blue bolt", "hot gear", "red widget", "small gizmo", "small ring"],
     "category": ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL"],
     "quantity": (1, 5),
     "price": (900.0, 950.0),

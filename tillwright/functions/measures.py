@@ -49,9 +49,44 @@ def cents(amount: Column) -> Column:
     return half_up(amount, 2)
 
 
+# Money is added up in decimals, which do not depend on the order of tasks and hold cents at any size
+# (doubles stop holding them near 10^14).
+MONEY = "decimal(28,8)"
+
+
+def exact_sum(value: Column) -> Column:
+    return F.sum(value.try_cast(MONEY))
+
+
+def odd_sum(value: Column) -> Column:
+    """Sum of the values that no decimal holds (NaN, infinity, beyond 10^20); null if there are none."""
+    return F.sum(F.when(value.try_cast(MONEY).isNull(), value))
+
+
+def money(exact: Column, odd: Column, count: Column | None = None) -> Column:
+    """A sum, or an average over ``count``, to the cent and as a double; odd values decide if there are any."""
+    both = odd + F.coalesce(exact.cast("double"), F.lit(0.0))
+    if count is not None:
+        both, exact = F.try_divide(both, count), F.try_divide(exact, count)
+    return F.when(odd.isNotNull(), half_up(both, 2)).otherwise(F.round(exact, 2).cast("double"))
+
+
+def money_sum(value: Column) -> Column:
+    return money(exact_sum(value), odd_sum(value))
+
+
+def money_avg(value: Column) -> Column:
+    return money(exact_sum(value), odd_sum(value), F.count(value))
+
+
 def percentage(part: Column, whole: Column, places: int = 2) -> Column:
-    """``part / whole`` in percent, null if ``whole`` is 0."""
-    return half_up(F.try_divide(part.cast("double"), whole.cast("double")) * 100, places)
+    """``part / whole`` of two counts in percent, null if ``whole`` is 0.
+
+    Half up in integers: a rate just below a tie stays below it.
+    """
+    scale = 10**places
+    units = F.call_function("div", part * F.lit(200 * scale) + whole, F.lit(2) * whole)
+    return F.when(whole != 0, units / F.lit(float(scale)))
 
 
 def distinct_values(column: str, mode: str) -> Column:

@@ -71,6 +71,13 @@ def distinct_statuses(tx: DataFrame) -> DataFrame:
     return tx.select("transaction_status").distinct()
 
 
+def alarmed_statuses(tx: DataFrame) -> DataFrame:
+    """The statuses of an alarmed batch, with the key under which a null is stored."""
+    status = F.col("transaction_status")
+    stand_in = F.when(status.isNull(), "null").otherwise(F.concat(F.lit("="), status))
+    return distinct_statuses(tx).withColumn("status_key", stand_in)
+
+
 def batch_summary(metrics: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     return metrics.select(*keys, *SUMMARY_COLUMNS)
 
@@ -93,4 +100,7 @@ def zero_success_statuses(tx: DataFrame, keys: Sequence[str] = ("batch_id",)) ->
         F.sum(F.when(status_is(SUCCESS), F.col("count")).otherwise(0)).alias("successful_transactions"),
     )
     alarmed = zero_success(totals.withColumn("success_rate_percentage", success_rate()))
-    return statuses.join(alarmed.select(*keys), list(keys), "left_semi")
+    # Null-safe: records without an event time have a null batch, which can be alarmed too.
+    alarmed = alarmed.select(*[F.col(key).alias(f"_{key}") for key in keys])
+    same = [F.col(key).eqNullSafe(F.col(f"_{key}")) for key in keys]
+    return statuses.join(alarmed, same, "left_semi")

@@ -8,14 +8,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillwright.functions.measures import (
     APPROXIMATE,
     cents,
     distinct_values,
+    exact_sum,
     is_high_value,
+    money,
+    money_avg,
+    money_sum,
+    odd_sum,
     percentage,
     settled_value,
     status_is,
@@ -24,10 +29,13 @@ from tillwright.functions.measures import (
 from tillwright.schema import FAILED, HIGH_VALUE_THRESHOLD, PENDING, SUCCESS
 
 
-def transaction_metrics(tx: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+def transaction_metrics(
+    tx: DataFrame, keys: Sequence[str] = (), extra: Sequence[Column] = ()
+) -> DataFrame:
     """Counts per status, revenue of successful rows, and value statistics over all rows.
 
-    A status outside the four buckets counts in the total only.
+    A status outside the four buckets counts in the total only. ``extra`` aggregates ride along in
+    the same pass.
     """
     value = F.col("transaction_value")
     totals = tx.groupBy(*keys).agg(
@@ -36,10 +44,11 @@ def transaction_metrics(tx: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
         F.count_if(status_is(FAILED)).alias("failed_transactions"),
         F.count_if(status_is(PENDING)).alias("pending_transactions"),
         F.count_if(status_is_unknown()).alias("unknown_status"),
-        cents(F.sum(settled_value())).alias("total_revenue"),
-        cents(F.avg(value)).alias("avg_transaction_value"),
+        money_sum(settled_value()).alias("total_revenue"),
+        money_avg(value).alias("avg_transaction_value"),
         cents(F.max(value)).alias("max_transaction_value"),
         cents(F.min(value)).alias("min_transaction_value"),
+        *extra,
     )
     return totals.withColumn("success_rate_percentage", success_rate())
 
@@ -58,18 +67,19 @@ def user_metrics(tx: DataFrame, keys: Sequence[str] = (), distinct: str = APPROX
         F.count_if(F.col("gender") == "Male").alias("male_customers"),
         F.count_if(F.col("gender") == "Female").alias("female_customers"),
         F.count_if(F.col("gender") == "Other").alias("other_gender_customers"),
-        F.sum("transaction_value").alias("spend"),
+        exact_sum(F.col("transaction_value")).alias("spend"),
+        odd_sum(F.col("transaction_value")).alias("odd_spend"),
     )
-    per_user = cents(F.try_divide(F.col("spend"), F.col("unique_users")))
-    return stats.withColumn("avg_spend_per_user", per_user).drop("spend")
+    per_user = money(F.col("spend"), F.col("odd_spend"), F.col("unique_users"))
+    return stats.withColumn("avg_spend_per_user", per_user).drop("spend", "odd_spend")
 
 
 def category_metrics(tx: DataFrame, keys: Sequence[str] = (), distinct: str = APPROXIMATE) -> DataFrame:
     """Orders, revenue of all statuses, and distinct products and customers per category."""
     return tx.groupBy(*keys, "category").agg(
         F.count(F.lit(1)).alias("order_count"),
-        cents(F.sum("transaction_value")).alias("category_revenue"),
-        cents(F.avg("transaction_value")).alias("avg_order_value"),
+        money_sum(F.col("transaction_value")).alias("category_revenue"),
+        money_avg(F.col("transaction_value")).alias("avg_order_value"),
         distinct_values("product_id", distinct).alias("unique_products"),
         distinct_values("user_id", distinct).alias("unique_customers"),
     )
@@ -83,9 +93,9 @@ def payment_metrics(tx: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """
     stats = tx.groupBy(*keys, "payment_method").agg(
         F.count(F.lit(1)).alias("transaction_count"),
-        cents(F.sum(settled_value())).alias("successful_revenue"),
+        money_sum(settled_value()).alias("successful_revenue"),
         F.count_if(status_is(FAILED)).alias("failed_count"),
-        cents(F.avg("transaction_value")).alias("avg_transaction_value"),
+        money_avg(F.col("transaction_value")).alias("avg_transaction_value"),
     )
     not_failed = F.col("transaction_count") - F.col("failed_count")
     return stats.withColumn("success_rate", percentage(not_failed, F.col("transaction_count")))
@@ -99,18 +109,23 @@ def geo_metrics(tx: DataFrame, keys: Sequence[str] = (), distinct: str = APPROXI
     """
     return tx.groupBy(*keys, "country", "city").agg(
         F.count(F.lit(1)).alias("transaction_count"),
-        cents(F.sum(settled_value())).alias("revenue"),
+        money_sum(settled_value()).alias("revenue"),
         distinct_values("user_id", distinct).alias("unique_customers"),
-        cents(F.avg("transaction_value")).alias("avg_transaction_value"),
+        money_avg(F.col("transaction_value")).alias("avg_transaction_value"),
     )
 
 
 def log_counts(tx: DataFrame, keys: Sequence[str] = (), threshold: float = HIGH_VALUE_THRESHOLD) -> DataFrame:
     """How many rows the failure log and the alerts get, without building either."""
-    return tx.groupBy(*keys).agg(
-        F.count_if(status_is(FAILED)).alias("failed_logged"),
-        F.count_if(is_high_value(threshold)).alias("high_value_alerts"),
-    )
+    return tx.groupBy(*keys).agg(*log_count_columns(threshold))
+
+
+LOG_COUNTS = ("failed_logged", "high_value_alerts")
+
+
+def log_count_columns(threshold: float = HIGH_VALUE_THRESHOLD) -> list[Column]:
+    counted = (status_is(FAILED), is_high_value(threshold))
+    return [F.count_if(test).alias(name) for test, name in zip(counted, LOG_COUNTS, strict=True)]
 
 
 def status_breakdown(tx: DataFrame, keys: Sequence[str] = ()) -> DataFrame:

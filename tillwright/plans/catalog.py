@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timezone
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -174,6 +175,79 @@ def daily_unique_merged(spark, sf_dir):
     return daily.merged_unique_customers(daily.user_sketches(hours))
 
 
+def _within_error(operator, group: list[str], counted: list[str], standard_error: float = 0.05) -> Query:
+    """The exact counts, and whether each estimate lies within three standard errors of its count.
+
+    Up to 20 values, within 3: there a few collisions outweigh the standard error.
+    """
+
+    def query(spark, sf_dir):
+        rows = tx(spark, sf_dir)
+        estimates = operator(rows, distinct=APPROXIMATE).select(
+            *[F.col(name).alias(f"_{name}") for name in (*group, *counted)]
+        )
+        exact = operator(rows, distinct=EXACT).select(*group, *counted)
+        same = F.lit(True)
+        for name in group:
+            same = same & F.col(name).eqNullSafe(F.col(f"_{name}"))
+        joined = exact.join(estimates, same) if group else exact.crossJoin(estimates)
+        return joined.select(*group, *counted, _near(counted, standard_error).alias("within_error"))
+
+    return query
+
+
+def _near(counted: list[str], standard_error: float):
+    near = F.lit(True)
+    for name in counted:
+        allowed = F.greatest(F.lit(3.0), F.col(name) * (3 * standard_error))
+        near = near & (F.abs(F.col(f"_{name}") - F.col(name)) <= allowed)
+    return near
+
+
+def daily_unique_error(spark, sf_dir):
+    """The merged sketches of hours against the exact counts of days."""
+    merged = daily_unique_merged(spark, sf_dir).withColumnRenamed("unique_customers", "_unique_customers")
+    day = F.to_date("event_time").cast("string").alias("date")
+    exact = event_tx(spark, sf_dir).groupBy(day).agg(F.count_distinct("user_id").alias("unique_customers"))
+    # Standard error of a sketch with 2^12 registers.
+    near = _near(["unique_customers"], 1.04 / 64).alias("within_error")
+    return exact.join(merged, "date").select("date", "unique_customers", near)
+
+
+def rejected_tables(spark, sf_dir):
+    """Null keys of every keyed table, as the store keeps them."""
+    store = FileStore(scratch_folder(spark, "rejects"))
+    batches = replay.with_batch(tx(spark, sf_dir), 365 * DAY_SECONDS)
+    stamp = F.lit(None).cast("timestamp").alias("batch_time")
+    for table, rows in {
+        "category_metrics": metrics.category_metrics(batches, replay.BATCH, EXACT),
+        "payment_metrics": metrics.payment_metrics(batches, replay.BATCH),
+        "geo_metrics": metrics.geo_metrics(batches, replay.BATCH, EXACT),
+    }.items():
+        store.replace_batches(rows.select("*", stamp), table)
+    store.append(tx(spark, sf_dir), "transactions")
+    payload = F.from_json("payload", "order_count bigint")
+    return store.read(spark, "rejected_rows").select(
+        "batch_id", "table_name", "reason", "copy", payload["order_count"].alias("order_count")
+    )
+
+
+def daily_stored(spark, sf_dir):
+    """The daily rollup, stored twice by key and read back without its clock."""
+    store = FileStore(scratch_folder(spark, "rollup"))
+    rows = daily.daily_aggregates(tx(spark, sf_dir), EXACT)
+    for part in (rows.filter("date < '1995'"), rows):
+        store.replace_rollup(part, "daily_aggregates", datetime.now(timezone.utc))
+    return store.read_rollup(spark, "daily_aggregates").drop("created_at")
+
+
+def dashboard_stored(spark, sf_dir):
+    store = FileStore(scratch_folder(spark, "rollup"))
+    rows = dashboard.dashboard_metrics(metrics.transaction_metrics(tx(spark, sf_dir)))
+    store.replace_rollup(rows, "dashboard_metrics", datetime.now(timezone.utc))
+    return store.read_rollup(spark, "dashboard_metrics").drop("last_updated")
+
+
 def dashboard_metrics(spark, sf_dir):
     return dashboard.dashboard_metrics(metrics.transaction_metrics(tx(spark, sf_dir)))
 
@@ -248,6 +322,44 @@ def stream_empty_batch(spark, sf_dir):
     return _stream_table(spark, sf_dir, "transaction_metrics").select("batch_id", "total_transactions")
 
 
+def stream_late_file(spark, sf_dir):
+    """All events, the second half in files dated a month before those already taken up."""
+    folder = scratch_folder(spark, "late")
+    store = FileStore(f"{folder}/tables")
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    files = path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for n, days in enumerate(({"until": "2024-01-16"}, {"since": "2024-01-16"})):
+        part = f"{folder}/part-{n}"
+        publish_folder(to_json_records(event_records(spark, sf_dir, **days)), part)
+        files.mkdirs(path(f"{folder}/landing"))
+        for status in files.listStatus(path(part)):
+            name = status.getPath().getName()
+            if name.startswith("part-"):
+                files.setTimes(status.getPath(), status.getModificationTime() - n * 30 * DAY_SECONDS * 1000, -1)
+                files.rename(status.getPath(), path(f"{folder}/landing/{n}-{name}"))
+        on_batch = BatchTables(store, "late", EXACT)
+        raw = folder_stream(spark, f"{folder}/landing")
+        job.wait(job.start(raw, on_batch, f"{folder}/checkpoint", available_now=True))
+    return store.read(spark, "transactions", "late").agg(F.count(F.lit(1)).alias("transactions"))
+
+
+def stream_repeats(spark, sf_dir):
+    """Every record sent twice, in event order reversed: each is stored once, however late its event time."""
+    folder = scratch_folder(spark, "repeats")
+    store = FileStore(f"{folder}/tables")
+    for days in ({"since": "2024-01-16"}, {"until": "2024-01-16"}):
+        records = to_json_records(event_records(spark, sf_dir, **days))
+        publish_folder(records.union(records), f"{folder}/landing")
+        on_batch = BatchTables(store, "repeats", EXACT)
+        raw = folder_stream(spark, f"{folder}/landing")
+        query = job.start(
+            raw, on_batch, f"{folder}/checkpoint", available_now=True, drop_repeats_within="1 hour"
+        )
+        job.wait(query)
+    rows = store.read(spark, "transactions", "repeats")
+    return rows.select("transaction_id", "event_time", "transaction_value")
+
+
 QUERIES: dict[str, Query] = {
     "decode_value": decode_value,
     "parse_json": parse_json,
@@ -301,6 +413,18 @@ QUERIES: dict[str, Query] = {
     "daily_top_country": _on_tx(daily.top_country),
     "dashboard_metrics": dashboard_metrics,
     "dashboard_latest": dashboard_latest,
+    "user_metrics_error": _within_error(metrics.user_metrics, [], ["unique_users"]),
+    "category_metrics_error": _within_error(
+        metrics.category_metrics, ["category"], ["unique_products", "unique_customers"]
+    ),
+    "geo_metrics_error": _within_error(metrics.geo_metrics, ["country", "city"], ["unique_customers"]),
+    "daily_aggregates_error": _within_error(daily.daily_aggregates, ["date"], ["unique_customers"]),
+    "daily_unique_error": daily_unique_error,
+    "rejected_tables": rejected_tables,
+    "daily_stored": daily_stored,
+    "dashboard_stored": dashboard_stored,
+    "stream_late_file": stream_late_file,
+    "stream_repeats": stream_repeats,
     "stream_ingest": stream_ingest,
     "stream_transaction_metrics": partial(_stream_table, table="transaction_metrics"),
     "stream_user_metrics": partial(_stream_table, table="user_metrics"),

@@ -8,14 +8,19 @@ from pyspark.sql import functions as F
 
 from tillwright.functions.measures import (
     APPROXIMATE,
-    cents,
     distinct_values,
+    exact_sum,
+    money,
+    odd_sum,
     percentage,
     settled_value,
     status_is,
 )
 from tillwright.schema import FAILED, SUCCESS
 
+_SUMS = ("n", "n_success", "n_failed", "n_value", "value", "odd_value", "settled", "odd_settled")
+
+
 def _day() -> Column:
     return F.to_date("event_time").alias("day")
 
@@ -32,16 +37,19 @@ def _day_grain(tx: DataFrame) -> DataFrame:
         F.count_if(status_is(SUCCESS)).alias("n_success"),
         F.count_if(status_is(FAILED)).alias("n_failed"),
         F.count("transaction_value").alias("n_value"),
-        F.sum("transaction_value").alias("value"),
-        F.sum(settled_value()).alias("settled"),
+        exact_sum(F.col("transaction_value")).alias("value"),
+        odd_sum(F.col("transaction_value")).alias("odd_value"),
+        exact_sum(settled_value()).alias("settled"),
+        odd_sum(settled_value()).alias("odd_settled"),
     )
 
 
 def _top(name: str, revenue: str, level: Column) -> Column:
     """The name with the highest revenue to the cent among rows of one grouping level, ties by name."""
-    rank = F.struct((-cents(F.col(revenue))).alias("less"), F.col(name).alias("name"))
+    earned = money(F.col(revenue), F.col(f"odd_{revenue}"))
+    rank = F.struct((-earned).alias("less"), F.col(name).alias("name"))
     # A null name is no key of the metric tables and a null revenue is no revenue: neither ranks.
-    ranked = F.when(level & F.col(name).isNotNull() & F.col(revenue).isNotNull(), rank)
+    ranked = F.when(level & F.col(name).isNotNull() & earned.isNotNull(), rank)
     return F.min(ranked)["name"]
 
 
@@ -58,7 +66,7 @@ def daily_aggregates(tx: DataFrame, distinct: str = APPROXIMATE) -> DataFrame:
         _day_grain(tx)
         .groupingSets([[day], [day, category], [day, country]], day, category, country)
         .agg(
-            *[F.sum(n).alias(n) for n in ("n", "n_success", "n_failed", "n_value", "value", "settled")],
+            *[F.sum(n).alias(n) for n in _SUMS],
             F.grouping("category").alias("no_category"),
             F.grouping("country").alias("no_country"),
         )
@@ -71,8 +79,8 @@ def daily_aggregates(tx: DataFrame, distinct: str = APPROXIMATE) -> DataFrame:
 
     days = levels.groupBy("day").agg(
         total("n").alias("total_transactions"),
-        cents(total("settled")).alias("total_revenue"),
-        cents(F.try_divide(total("value"), total("n_value"))).alias("avg_transaction_value"),
+        money(total("settled"), total("odd_settled")).alias("total_revenue"),
+        money(total("value"), total("odd_value"), total("n_value")).alias("avg_transaction_value"),
         total("n_success").alias("successful_transactions"),
         total("n_failed").alias("failed_transactions"),
         percentage(total("n_success"), total("n")).alias("success_rate"),
@@ -88,16 +96,18 @@ def daily_aggregates(tx: DataFrame, distinct: str = APPROXIMATE) -> DataFrame:
 
 def top_category(tx: DataFrame) -> DataFrame:
     """Per day the category with the highest revenue over all statuses, ties by name."""
-    return _top_of(tx, "category", F.sum("transaction_value"), "top_category")
+    return _top_of(tx, "category", F.col("transaction_value"), "top_category")
 
 
 def top_country(tx: DataFrame) -> DataFrame:
     """Per day the country with the highest revenue of successful rows, ties by name."""
-    return _top_of(tx, "country", F.sum(settled_value()), "top_country")
+    return _top_of(tx, "country", settled_value(), "top_country")
 
 
 def _top_of(tx: DataFrame, name: str, revenue: Column, alias: str) -> DataFrame:
-    sums = tx.groupBy(_day(), name).agg(revenue.alias("revenue"))
+    sums = tx.groupBy(_day(), name).agg(
+        exact_sum(revenue).alias("revenue"), odd_sum(revenue).alias("odd_revenue")
+    )
     return _date_text(sums.groupBy("day").agg(_top(name, "revenue", F.lit(True)).alias(alias)))
 
 

@@ -63,6 +63,7 @@ class Table:
     key: tuple[str, ...]
 
 
+# --- Fixed values: result tables, their columns and keys ---------------------
 _BATCH = {"batch_id": "bigint", "batch_time": "timestamp"}
 
 TABLES = {
@@ -197,9 +198,10 @@ TABLES = {
         ("metric_type",),
     ),
     # The statuses seen in a batch without any success.
+    # ``status_key`` is the status, or a stand-in where it is null, which a key cannot be.
     "zero_success_statuses": Table(
-        {**_BATCH, "transaction_status": "string"},
-        (),
+        {**_BATCH, "transaction_status": "string", "status_key": "string"},
+        ("batch_id", "status_key"),
     ),
     # Rows that a keyed table cannot hold, as JSON, with the reason.
     "rejected_rows": Table(
@@ -208,7 +210,10 @@ TABLES = {
             "table_name": "string",
             "reason": "string",
             "payload": "string",
+            "row_hash": "string",
+            "copy": "bigint",
         },
-        (),
+        ("batch_id", "table_name", "row_hash", "copy"),
     ),
 }
+# ----------------------------------------------------------------------------

@@ -31,13 +31,16 @@ _own_folder: str | None = None
 def scratch_folder(spark: SparkSession, label: str) -> str:
     """A fresh folder that every executor can reach.
 
-    It lies in the folder the cluster names in ``spark.checkpoint.dir``. Only where that is
-    unset, as in tests on one machine, is it in a temporary folder of this machine.
+    It lies in the folder the cluster names in ``spark.checkpoint.dir``. Where that is unset, a
+    local session uses a temporary folder of this machine; a cluster has none that all executors
+    share, so there it is an error.
     """
     global _own_folder
     shared = spark.conf.get("spark.checkpoint.dir", None)
     shared = shared or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not shared:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         _own_folder = _own_folder or tempfile.mkdtemp(prefix="tillwright-")
         shared = _own_folder
     return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"

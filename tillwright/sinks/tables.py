@@ -2,23 +2,31 @@
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Mapping, Sequence
+from datetime import datetime
 from typing import Protocol
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
-from tillwright.operators.keyed import latest_by_key
+from tillwright.operators.keyed import split_on_key
 from tillwright.schema import TABLES
 
 
+# Tables that take any row: their keys have a stand-in for null.
+KEYLESS = ("zero_success_statuses", "rejected_rows")
+
+
 def conform(rows: DataFrame, table: str) -> DataFrame:
     """The columns of a result table, in order and typed; a missing column is an error."""
     return rows.select(*[F.col(name).cast(dtype) for name, dtype in TABLES[table].columns.items()])
 
 
 class Store(Protocol):
-    """What a stream needs of a place for result tables."""
+    """What a stream needs of a place for result tables. ``claim``, as in ``FileStore``, is optional."""
 
     def replace_batch(self, rows: DataFrame, table: str, stream_id: str, batch_id: int) -> None: ...
 
@@ -40,8 +48,45 @@ class FileStore:
         stream = f"stream_id={stream_id}/" if stream_id is not None else ""
         return f"{self.path(table)}/{stream}batch_id={batch_id}"
 
+    def claim(self, spark: SparkSession, stream_id: str, query_id: str) -> None:
+        """Make a streaming query the owner of a stream's tables, or raise if another one is.
+
+        A query's id lives in its checkpoint. With a lost or a new checkpoint, batch ids start at 0
+        again, and their batches would replace those that the first query wrote.
+        """
+        folder = f"{self.root}/_owners/stream_id={stream_id}"
+        try:
+            owner = spark.read.text(folder).first()
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
+            owner = None
+        if owner is None:
+            spark.createDataFrame([(query_id,)], "value string").coalesce(1).write.mode("overwrite").text(folder)
+        elif owner[0] != query_id:
+            raise ValueError(
+                f"stream {stream_id!r} in {self.root} belongs to query {owner[0]}, not {query_id}: "
+                "go on from its checkpoint, or choose another stream id"
+            )
+
+    def _keyed(self, rows: DataFrame, table: str) -> DataFrame:
+        """Rows with a whole key; the others go to ``rejected_rows``, with the reason."""
+        key = TABLES[table].key
+        if table in KEYLESS:
+            return rows
+        kept, rejected = split_on_key(rows, key)
+        columns = [name for name in rows.columns if name != "batch_id"]
+        shaped = rejects(rejected, table, columns, carry=["batch_id"] * ("batch_id" in rows.columns))
+        if not shaped.isEmpty():
+            shaped.write.format(self.fmt).options(**self.options).mode("append").save(self.path("rejected_rows"))
+        return kept
+
     def append(self, rows: DataFrame, table: str) -> None:
-        """Add rows. Repeating it duplicates them; streams use ``replace_batch``."""
+        """Add rows. Repeating it duplicates them; streams use ``replace_batch``.
+
+        Rows with a null in the table's key are appended to ``rejected_rows`` instead.
+        """
+        rows = self._keyed(rows, table)
         rows.write.format(self.fmt).options(**self.options).mode("append").save(self.path(table))
 
     def replace_batch(self, rows: DataFrame, table: str, stream_id: str, batch_id: int) -> None:
@@ -61,6 +106,7 @@ class FileStore:
         sorted run, and a large batch is written by several tasks.
         """
         key = TABLES[table].key
+        rows = self._keyed(rows, table)
         (
             rows.repartitionByRange(*key)
             .sortWithinPartitions(*key)
@@ -72,10 +118,46 @@ class FileStore:
             .save(self.path(table))
         )
 
+    def replace_rollup(self, rows: DataFrame, table: str, now: datetime) -> None:
+        """Store a rollup under its key, stamped: a row replaces the stored one of equal key.
+
+        The merged table is written aside and then named current, so a reader never finds it half
+        written, and a rollup that fails leaves the last one as it was.
+        """
+        spark, key = rows.sparkSession, TABLES[table].key
+        stamped = rows.withColumns({name: F.lit(now) for name in ("created_at", "last_updated")})
+        kept, _ = split_on_key(conform(stamped, table), key)
+        older = self.read_rollup(spark, table).join(kept.select(*key), list(key), "left_anti")
+        version = f"{self.path(table)}/version={uuid.uuid4().hex}"
+        older.unionByName(kept).write.format(self.fmt).options(**self.options).save(version)
+        current = spark.createDataFrame([(version,)], "value string").coalesce(1)
+        current.write.mode("append").text(f"{self.path(table)}/_versions/{time.time_ns():020d}")
+
+    def read_rollup(self, spark: SparkSession, table: str) -> DataFrame:
+        """The rollup as last stored; empty before that."""
+        try:
+            versions = spark.read.option("recursiveFileLookup", "true").text(f"{self.path(table)}/_versions")
+            latest = versions.select("value", F.input_file_name().alias("at")).orderBy(F.desc("at")).first()
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
+            latest = None
+        if latest is None:
+            return spark.createDataFrame([], self._schema(table, None))
+        return self._reader(spark, table, None).load(latest["value"])
+
     def read(self, spark: SparkSession, table: str, stream_id: str | None = None) -> DataFrame:
-        """All batches, of one stream or of a table written without streams."""
+        """All batches, of one stream or of a table written without streams.
+
+        A table that no batch has written yet is an empty one.
+        """
         stream = f"/stream_id={stream_id}" if stream_id is not None else ""
-        return self._reader(spark, table, stream_id).load(self.path(table) + stream)
+        try:
+            return self._reader(spark, table, stream_id).load(self.path(table) + stream)
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return spark.createDataFrame([], self._schema(table, stream_id))
 
     def latest(self, spark: SparkSession, table: str, stream_id: str) -> DataFrame:
         """One row per key of the table, the last one written: what a keyed store would hold.
@@ -83,8 +165,11 @@ class FileStore:
         Rows of equal key in one batch have no order of writing; the greatest in column order wins.
         """
         rows = self.read(spark, table, stream_id)
-        others = [name for name in rows.columns if name != "batch_id"]
-        return latest_by_key(rows, TABLES[table].key, ["batch_id", *others])
+        key = TABLES[table].key
+        version = ["batch_id", *[name for name in rows.columns if name not in ("batch_id", *key)]]
+        # One struct that is both the order and the row: each column crosses the shuffle once.
+        newest = rows.groupBy(*key).agg(F.max(F.struct(*[c for c in version if c not in key])).alias("_newest"))
+        return newest.select(*key, "_newest.*").select(*rows.columns)
 
     def lookup(
         self, spark: SparkSession, table: str, batch_id: int, stream_id: str | None = None
@@ -96,18 +181,23 @@ class FileStore:
 
     def _reader(self, spark: SparkSession, table: str, stream_id: str | None) -> DataFrameReader:
         # Declared, not inferred: no footer is read up front and ids keep their types.
+        schema = self._schema(table, stream_id)
+        return spark.read.format(self.fmt).options(**self.options).schema(schema)
+
+    def _schema(self, table: str, stream_id: str | None) -> str:
         columns = dict(TABLES[table].columns)
         if stream_id is not None:
             columns.setdefault("batch_id", "bigint")
-        schema = ", ".join(f"`{name}` {dtype}" for name, dtype in columns.items())
-        return spark.read.format(self.fmt).options(**self.options).schema(schema)
+        return ", ".join(f"`{name}` {dtype}" for name, dtype in columns.items())
 
 
 class ConnectorStore:
     """Tables of an external store behind a Spark connector that overwrites rows of equal key.
 
     The keys make a retried batch replace its rows, so plain appends do. ``table_option`` is the
-    connector's name for the table; ``stream_id`` is written as a column if the tables have one.
+    connector's name for the table; ``stream_id`` is written as a column, which belongs in
+    the tables' keys, unless ``write_stream_id`` is off. Owners of streams are not kept here: give each
+    stream id to one checkpoint only.
     """
 
     def __init__(
@@ -115,7 +205,7 @@ class ConnectorStore:
         fmt: str,
         options: Mapping[str, str] | None = None,
         table_option: str = "table",
-        write_stream_id: bool = False,
+        write_stream_id: bool = True,
     ):
         self.fmt, self.options = fmt, dict(options or {})
         self.table_option, self.write_stream_id = table_option, write_stream_id
@@ -132,7 +222,16 @@ class ConnectorStore:
         )
 
 
-def rejects(rejected: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
-    """Rejected rows of one table in the shape of ``rejected_rows``, less the batch columns."""
+def rejects(
+    rejected: DataFrame, table: str, columns: Sequence[str], carry: Sequence[str] = ()
+) -> DataFrame:
+    """Rejected rows of one table in the shape of ``rejected_rows``, with only the batch columns in ``carry``.
+
+    ``copy`` numbers rows that are equal in all, so that the key tells them apart and a batch that is
+    done again writes the same keys.
+    """
     payload = F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
-    return rejected.select(F.lit(table).alias("table_name"), "reason", payload.alias("payload"))
+    shaped = rejected.select(*carry, F.lit(table).alias("table_name"), "reason", payload.alias("payload"))
+    same = shaped.groupBy(*carry, "table_name", "reason", "payload").agg(F.count(F.lit(1)).alias("_n"))
+    each = same.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_n")))).drop("_n")
+    return each.withColumn("row_hash", F.sha2(F.concat_ws("\n", "reason", "payload"), 256))

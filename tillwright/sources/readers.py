@@ -36,13 +36,30 @@ def topic_stream(
     return reader.load()
 
 
+# Older than any file: no file is left out for its modification time.
+ANY_AGE = "36500d"
+
+
 def folder_stream(
-    spark: SparkSession, path: str, max_files_per_trigger: int | None = None
+    spark: SparkSession,
+    path: str,
+    max_files_per_trigger: int | None = None,
+    max_file_age: str = ANY_AGE,
+    archive_dir: str | None = None,
 ) -> DataFrame:
-    """A folder of JSON-lines files as an unbounded table; new files are new records."""
-    reader = spark.readStream.format("text")
+    """A folder of JSON-lines files as an unbounded table; new files are new records.
+
+    Spark by itself ignores files more than a week older than the newest one, so records of a
+    backfill or of a copy that keeps times would be lost. Here every file counts, unless
+    ``max_file_age`` says otherwise. Files that have been read are remembered; in a folder that
+    grows for ever, give an ``archive_dir``, into which they are moved, so that neither the listing
+    nor that memory holds on to the folder's past.
+    """
+    reader = spark.readStream.format("text").option("maxFileAge", max_file_age)
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    if archive_dir is not None:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     return reader.load(path)
 
 

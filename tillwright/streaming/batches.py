@@ -37,31 +37,44 @@ class BatchTables:
         threshold: float = HIGH_VALUE_THRESHOLD,
         on_summary: Callable[[int, dict], None] | None = None,
         parallel_writes: int = 8,
+        on_counts: Callable[[int, dict], None] | None = None,
     ):
         self.store, self.stream_id = store, stream_id
         self.distinct, self.threshold = distinct, threshold
         self.on_summary, self.parallel_writes = on_summary, parallel_writes
+        self.on_counts = on_counts
+        self._owner: str | None = None
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        self._claim(batch)
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             # The metrics row comes first: it fills the persisted batch for all the other tables,
             # and tells whether there is anything to do.
-            totals = metrics.transaction_metrics(batch)
+            # The counts of failures and alerts come with it, for the report.
+            totals = metrics.transaction_metrics(batch, extra=metrics.log_count_columns(self.threshold))
             row = totals.first()
             if row["total_transactions"] == 0:
                 log.info("batch %d: no records", batch_id)
                 return
             tables = self._tables(batch)
-            tables["transaction_metrics"] = lambda: batch.sparkSession.createDataFrame([row], totals.schema)
+            tables["transaction_metrics"] = lambda: batch.sparkSession.createDataFrame([row], totals.schema).coalesce(1)
             if row["success_rate_percentage"] == 0.0:
                 log.warning("batch %d: no successful transaction", batch_id)
-                tables["zero_success_statuses"] = lambda: logs.distinct_statuses(batch)
+                tables["zero_success_statuses"] = lambda: logs.alarmed_statuses(batch)
             self._write(batch, batch_id, tables)
             self._report(batch, batch_id, row)
         finally:
             batch.unpersist()
 
+    def _claim(self, batch: DataFrame) -> None:
+        """Once per run of the query, in a store that keeps owners; outside a stream there is none."""
+        query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        claim = getattr(self.store, "claim", None)
+        if claim and query_id and query_id != self._owner:
+            claim(batch.sparkSession, self.stream_id, query_id)
+            self._owner = query_id
+
     def _tables(self, batch: DataFrame) -> dict[str, Callable[[], DataFrame]]:
         """How to build each table from the batch, but for its metrics row."""
         keyed = {
@@ -119,9 +132,16 @@ class BatchTables:
 
     def _report(self, batch: DataFrame, batch_id: int, row: Row) -> None:
         summary = {name: row[name] for name in logs.SUMMARY_COLUMNS}
+        counts = {name: row[name] for name in metrics.LOG_COUNTS}
         log.info("batch %d: %s", batch_id, summary)
+        log.info("batch %d rows logged: %s", batch_id, counts)
         if log.isEnabledFor(logging.DEBUG):
-            log.debug("batch %d statuses: %s", batch_id, metrics.status_breakdown(batch).take(20))
+            # Statuses are free text and may be many: the most frequent, and how many there are.
+            breakdown = metrics.status_breakdown(batch)
+            frequent = breakdown.orderBy(F.desc("count"), "transaction_status").take(20)
+            log.debug("batch %d: %d statuses, most frequent %s", batch_id, breakdown.count(), frequent)
             log.debug("batch %d sample: %s", batch_id, logs.sample_records(batch).collect())
         if self.on_summary is not None:
             self.on_summary(batch_id, summary)
+        if self.on_counts is not None:
+            self.on_counts(batch_id, counts)

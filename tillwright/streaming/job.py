@@ -8,30 +8,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tillwright.operators.keyed import has_whole_key
 from tillwright.schema import EVENT_TIME_FORMAT, TRIGGER_INTERVAL
 from tillwright.session import configure
 from tillwright.sources.decode import decode_transactions
 
-_STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
-_HEAP_STORE = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
-_DISK_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
 
 def drop_repeats(tx: DataFrame, within: str) -> DataFrame:
-    """Drop repeated transaction ids that arrive within a span of event time, as senders' retries do.
+    """Drop repeated transaction ids that arrive within a span of time, as senders' retries do.
 
-    Off unless asked for: the metrics otherwise count a repeated record each time. State is bounded
-    by the watermark, which also drops records later than ``within``. Records without an id or an
-    event time pass untouched, as nothing tells whether they repeat.
+    Off unless asked for: the metrics otherwise count a repeated record each time. The span is one of
+    arrival (``processed_at``), not of event time: a record with an old, future or missing event time
+    is no repeat and stays. State is bounded by the span. Records without an id pass untouched, each
+    under an id of its own here, as nothing tells whether they repeat.
     """
-    identified = has_whole_key(["transaction_id", "event_time"])
-    first = (
-        tx.filter(identified)
-        .withWatermark("event_time", within)
-        .dropDuplicatesWithinWatermark(["transaction_id"])
-    )
-    return first.unionByName(tx.filter(~identified))
+    marked = tx.withColumn("_id", F.coalesce("transaction_id", F.uuid()))
+    return marked.withWatermark("processed_at", within).dropDuplicatesWithinWatermark(["_id"]).drop("_id")
 
 
 def start(
@@ -47,15 +38,12 @@ def start(
     """Decode a raw stream and run ``on_batch`` on every micro-batch.
 
     ``checkpoint`` holds offsets and batch ids and must outlive the job; it has no default, since a
-    lost checkpoint restarts batch ids at 0. ``available_now`` handles what is there and ends.
+    lost checkpoint restarts batch ids at 0. ``available_now`` handles what is there and ends. The state
+    store is the session's choice; with ``drop_repeats_within`` over a long span, choose one on disk.
     """
     configure(raw.sparkSession)
     tx = decode_transactions(raw, event_time_format)
     if drop_repeats_within:
-        # State on local disk instead of the executor heap, unless the session chose a store.
-        conf = raw.sparkSession.conf
-        if conf.get(_STATE_STORE) == _HEAP_STORE:
-            conf.set(_STATE_STORE, _DISK_STORE)
         tx = drop_repeats(tx, drop_repeats_within)
     trigger = {"availableNow": True} if available_now else {"processingTime": interval}
     writer = (
