@@ -291,3 +291,9 @@ def test_html_of_odd_rows(spark):
     size = len(html_text.main_text(PAGE))
     assert got == Counter({(1, "u", size): 2, (2, None, 0): 1, (None, "v", 0): 1})
     assert html_text.extract(pages.limit(0)).count() == 0
+
+
+def test_the_filter_lets_all_nodes_through_and_few_others(spark):
+    rows, nodes = spark.range(20_000).withColumnRenamed("id", "node"), spark.range(0, 20_000, 100).withColumnRenamed("id", "node")
+    passed = {r.node for r in near_dedup._in_filter(rows, nodes).collect()}
+    assert set(range(0, 20_000, 100)) <= passed and len(passed) < 230
