@@ -4,6 +4,7 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from tests.parity import database, differences
+from tillwright.plans import catalog, oracle
 
 SF = "/root/testdata/sf0.01"
 
@@ -52,7 +53,8 @@ def test_merged_sketches_are_near_exact(spark):
 
 
 def test_every_query_is_checked():
-    assert set(queries()) == set(oracle_sql()) | set(SKETCHES) | {"daily_unique_merged"}
+    assert set(catalog.queries()) == set(oracle.oracle_sql()) | set(SKETCHES) | {"daily_unique_merged"}
+    assert set(catalog.queries()) <= set(queries()) and set(oracle.oracle_sql()) <= set(oracle_sql())
 
 
 def test_entry_has_one_row(spark):
