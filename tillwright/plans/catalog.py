@@ -190,7 +190,12 @@ def _within_error(operator, group: list[str], counted: list[str], standard_error
         same = F.lit(True)
         for name in group:
             same = same & F.col(name).eqNullSafe(F.col(f"_{name}"))
-        joined = exact.join(estimates, same) if group else exact.crossJoin(estimates)
+        if group:
+            joined = exact.join(estimates, same)
+        else:  # one row each, side by side
+            names = [*counted, *[f"_{name}" for name in counted]]
+            both = exact.unionByName(estimates, allowMissingColumns=True)
+            joined = both.agg(*[F.max(name).alias(name) for name in names])
         return joined.select(*group, *counted, _near(counted, standard_error).alias("within_error"))
 
     return query
