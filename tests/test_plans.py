@@ -4,8 +4,8 @@ import re
 
 import pytest
 
-from __spark_entry__ import queries
 from tillwright.operators import logs, metrics
+from tillwright.plans.catalog import queries
 from tillwright.session import scratch_folder
 from tillwright.sinks.tables import FileStore
 from tillwright.fixtures import tx
@@ -25,6 +25,8 @@ GLOBAL = {
     "missing_fields",
     "dashboard_metrics",
     "stream_restart",
+    "user_metrics_error",
+    "stream_late_file",
 }
 
 
