@@ -43,8 +43,7 @@ def decode_value(spark, sf_dir):
 
 def parse_json(spark, sf_dir):
     parsed = decode.parse_json(decode.decode_value(_wire(spark, sf_dir)))
-    names = ("transaction_id", "category", "quantity", "price", "transaction_status")
-    return parsed.select(*[F.col(f"data.{name}").alias(name) for name in names])
+    return parsed.select(*[F.col(f"data.{name}").alias(name) for name in RECORD_FIELDS])
 
 
 def parse_json_irregular(spark, sf_dir):

@@ -260,9 +260,7 @@ def oracle_sql() -> dict[str, str]:
 def _oracle_sql() -> dict[str, str]:
     return {
         "decode_value": _tx(f"SELECT CAST(to_json(r) AS VARCHAR) AS json FROM (SELECT {_RECORD} FROM tx_records) r"),
-        "parse_json": _tx(
-            "SELECT transaction_id, category, quantity, price, transaction_status FROM tx_records"
-        ),
+        "parse_json": _tx(f"SELECT {_RECORD} FROM tx_records"),
         "parse_json_irregular": _tx("""
             SELECT CASE WHEN quantity IN (2, 3, 4) THEN transaction_id END AS transaction_id,
                    CASE quantity WHEN 2 THEN CAST(age AS VARCHAR) WHEN 4 THEN category END AS category,
