@@ -123,6 +123,37 @@ def test_a_crowded_region_stays_connected(spark):
     assert {r.component_id for r in near_dedup.near_duplicates(frame, 2).collect()} == {0}
 
 
+def test_a_text_linked_to_one_member_of_a_crowd(spark):
+    """Chains away from a crowd: each end is linked to its neighbour only, and found beyond the window."""
+    rng = random.Random(9)
+    base = [f"w{i}" for i in range(200)]
+    crowd = [" ".join([*base[:k], f"x{i}", *base[k + 1 :]]) for i in range(300) for k in [rng.randrange(200)]]
+    texts = list(crowd)
+    for i in range(20):
+        words = crowd[i].split()
+        for k in rng.sample(range(0, 200, 3), 9 + i // 2):
+            words[k] = f"y{i}_{k}"
+        texts.append(" ".join(words))
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(frame, 2).collect()}
+    sets = {i: {tuple(p) for p in zip(t.split(), t.split()[1:])} for i, t in enumerate(texts)}
+    assert got == components_of(sets)
+
+
+def test_blocks_meet_all_blocks(spark, monkeypatch):
+    """Outsiders and members in many blocks: every link of an outsider to its main component is found."""
+    monkeypatch.setattr(near_dedup, "BLOCK_BYTES", 2000)
+    base = [f"w{i}" for i in range(60)]
+    texts = [" ".join([*base[:k], f"x{k}", *base[k + 1 :]]) for k in range(40)]
+    docs = spark.createDataFrame([*enumerate(texts), (40, None), (None, texts[0])], "doc_id long, text string")
+    alone = spark.createDataFrame([(k, 10) for k in (0, 1, 2, 40)], "node long, main long")
+    labels = spark.createDataFrame([(k, 10 if k >= 10 else k) for k in range(40)], "node long, component long")
+    got = {(r.a, r.b) for r in near_dedup.links_to_main(docs, alone, labels, 2).collect()}
+    sets = {i: {tuple(p) for p in zip(t.split(), t.split()[1:])} for i, t in enumerate(texts)}
+    assert got == {(a, b) for a in (0, 1, 2) for b in range(10, 40) if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])}
+    assert len(got) > 20
+
+
 def test_components_of_a_chain(spark):
     links = [(i, i + 1) for i in range(60)] + [(100, 101), (7, 7), (None, 3)]
     got = {r.node: r.component for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}
