@@ -56,6 +56,22 @@ def test_exact_duplicates(spark):
     assert exact_dedup.exact_duplicates(empty_docs(spark)).count() == 0
 
 
+def test_copies_are_dropped_by_row(spark):
+    """A row without an id, or of a repeated id, that is a copy takes no other row with it."""
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(60)) for x in "abcd")
+    rows = [(1, a), (None, a), (None, b), (None, c), (2, a), (2, d), (3, d + " more"), (3, d + "  more"), (None, None), (4, b + " x"), (4, "")]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in rows], "doc_id long, text string, lang string").repartition(3)
+    exact = exact_dedup.drop_exact_duplicates(docs)
+    assert exact.columns == docs.columns
+    got = Counter((r.doc_id, " ".join((r.text or "").split())) for r in exact.collect())
+    # The empty text of 4 keeps its id; the null text without one is its copy.
+    assert got == Counter([(1, a), (None, b), (None, c), (2, d), (3, d + " more"), (4, b + " x"), (4, "")])
+    near = near_dedup.drop_near_duplicates(docs, 2)
+    assert near.columns == docs.columns
+    # 1 and 2 are one document, and 2 and 3 are near; b without an id has no set of a row with one.
+    assert Counter((r.doc_id, r.text) for r in near.collect()) == Counter([(1, a), (None, b), (None, c), (None, None), (4, b + " x"), (4, "")])
+
+
 def test_colliding_identifiers_are_replaced(spark, monkeypatch):
     weak = (lambda c: F.lit("same"), *exact_dedup.DIGESTS[1:])
     monkeypatch.setattr(exact_dedup, "DIGESTS", weak)

@@ -91,10 +91,21 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
-    """The rows that ``exact_duplicates`` keeps, with all their columns.
+    """The rows that ``exact_duplicates`` keeps, with all their columns; one of each doc_id and text.
 
-    Only the doc_ids of rows to drop are joined with the documents.
+    The verdict is of a doc_id and a text, so another text of the same id, or another row without an
+    id, is not touched. Only keys are joined with the documents. Of rows that repeat both, one stays,
+    also where they have no id.
     """
-    gone = exact_duplicates(docs).filter(~F.col("kept")).select(F.col("doc_id").alias("_gone"))
-    gone = stored(gone.distinct(), "dropped")
-    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti")
+    found = exact_duplicates(docs).withColumnsRenamed({"doc_id": "_id", "text_sha256": "_sha"})
+    counted = found.groupBy("_id", "_sha").agg(F.first("kept").alias("_kept"), F.count("*").alias("_n"))
+    marked = stored(counted.filter("NOT _kept OR _n > 1"), "marked")
+    sha = F.sha2(normalized(text_or_empty()).cast("binary"), 256)
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (sha == F.col("_sha"))
+    left = docs.join(marked, same, "left_anti")
+    several = marked.filter("_kept")
+    if several.isEmpty():
+        return left
+    row = F.struct(*docs.columns)
+    repeated = docs.join(several, same).groupBy("_id", "_sha").agg(F.min_by(row, F.to_json(row)).alias("_row"))
+    return left.unionByName(repeated.select("_row.*"))
