@@ -185,6 +185,19 @@ def test_mix_of_odd_rows(spark):
     assert mixed.columns == odd_docs(spark).columns
 
 
+def test_mixed_rows_take_their_own_parts(spark):
+    """Rows of one id, without an id, and of one id and text: words as often as ``mix`` says, and own ones only."""
+    texts = [(i, " ".join(f"r{n}w{k}" for k in range(5 + 7 * (n % 4)))) for n, i in enumerate([1, 1, 1, 2, *[None] * 8])]
+    texts += [(3, "a b c d e f g h i j k")] * 3 + [(None, "l m n o p q r s t")] * 2
+    docs = spark.createDataFrame([(i, t, None, "s") for i, t in texts], "doc_id long, text string, lang string, source string").repartition(3)
+    got = [(r.doc_id, r.text.split()) for r in mixing.mix_documents(docs, block_words=4).collect()]
+    taken = Counter((r.doc_id, r.size, r.taken) for r in mixing.mix(docs, block_words=4).collect() if r.taken)
+    words = {w: (i, len(t.split())) for i, t in texts for w in t.split()}
+    assert Counter((i, words[t[0]][1], len(t)) for i, t in got) == taken
+    whole = {(i, w): set(t.split()) for i, t in texts for w in t.split()}
+    assert all(set(t) <= whole[i, t[0]] and max(Counter(t).values()) <= 2 for i, t in got)
+
+
 def test_permutations_are_one_to_one(spark):
     for size in (1, 2, 7, 64, 1000):
         places = spark.range(size).select(mixing.permuted(F.col("id"), F.lit(size).cast("long"), F.lit(9).cast("long")).alias("p"))

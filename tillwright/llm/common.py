@@ -49,13 +49,14 @@ def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def numbered(
-    df: DataFrame, group: list[str], order: list[str], weight: Column, name: str, salts: int
+    df: DataFrame, group: list[str], order: list[str], weight: Column, name: str, salts: int, ties: tuple[str, ...] = ()
 ) -> DataFrame:
     """Add ``name``: the sum of ``weight`` over the rows of the same group that come before.
 
     The order is by a hash of ``order`` into ``salts`` parts, then by ``order``. A group that holds
     most rows is spread over its parts: part sums are aggregated first, and only they are summed up
-    per group. The numbers are gapless and the same in each run, if ``order`` tells rows apart.
+    per group. The numbers are gapless and the same in each run, if ``order`` and ``ties``, which come after
+    it, tell rows apart.
     """
     salt = F.pmod(F.xxhash64(*order), F.lit(salts)).cast("int")
     salted = df.withColumn("_salt", salt).withColumn("_weight", weight.cast("long"))
@@ -72,7 +73,7 @@ def numbered(
         same = same & F.col(c).eqNullSafe(F.col(f"_g{i}"))
     within = (
         Window.partitionBy(*group, "_salt")
-        .orderBy(*order)
+        .orderBy(*order, *ties)
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     inside = salted.withColumn("_inside", F.coalesce(F.sum("_weight").over(within), F.lit(0)))

@@ -73,16 +73,17 @@ def permuted(index: Column, size: Column, key: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.lit(_ROUNDS)), index, step)
 
 
-def laid_out(docs: DataFrame, block_words: int = BLOCK_WORDS) -> tuple[DataFrame, DataFrame]:
+def laid_out(docs: DataFrame, block_words: int = BLOCK_WORDS, more: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
     """Documents with their size and first word's place in their source; and sources with targets.
 
-    Columns of the first: doc_id, source, size, start, source_size, target. Stored, so that all later
-    steps see the same places.
+    Columns of the first: doc_id, source, size, start, and those of ``docs`` in ``more``, which order rows
+    of the same doc_id and size. Stored, so that all later steps see the same places.
     """
     source = F.col("source").cast("string").alias("source")
-    sized = stored(docs.select("doc_id", source, n_words(text_or_empty()).alias("size")), "sizes")
+    sized = stored(docs.select("doc_id", source, n_words(text_or_empty()).alias("size"), *more), "sizes")
     totals = stored(targets(sized.groupBy("source").agg(F.sum("size").alias("source_size"))), "targets")
-    placed = numbered(sized, ["source"], ["doc_id", "size"], F.col("size"), "start", shuffle_partitions(docs.sparkSession))
+    salts = shuffle_partitions(docs.sparkSession)
+    placed = numbered(sized, ["source"], ["doc_id", "size"], F.col("size"), "start", salts, more)
     return stored(placed, "places"), totals
 
 
@@ -164,22 +165,56 @@ def mix(docs: DataFrame, block_words: int = BLOCK_WORDS, seed: int = SEED) -> Da
     return found.select("doc_id", "size", "source_size", "target", "taken")
 
 
+_ROW = ("doc_id", "_source", "_sha", "_turn")
+
+
+def _with_turns(docs: DataFrame, placed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both with ``_turn``, so that _ROW is the same for a row of ``docs`` and its place, and for no other.
+
+    It is 0 but where several rows have the same id, source and text, which are numbered on either side;
+    as their texts are the same, any of them may take any of the places. Only such rows are stored.
+    """
+    same = list(_ROW[:-1])
+    several = placed.groupBy(same).agg(F.count("*").alias("_n")).filter("_n > 1")
+    several = stored(several.select(*[F.col(c).alias(f"{c}_2") for c in same]), "repeats")
+    first = F.lit(0).cast("long").alias("_turn")
+    if several.isEmpty():
+        return docs.select("*", first), placed.select("*", first)
+    met = F.lit(True)
+    for c in same:
+        met = met & F.col(c).eqNullSafe(F.col(f"{c}_2"))
+
+    def turned(rows: DataFrame) -> DataFrame:
+        again = stored(rows.join(several, met, "left_semi").withColumn("_nth", F.monotonically_increasing_id()), "again")
+        numbers = numbered(again, same, ["_nth"], F.lit(1), "_turn", shuffle_partitions(rows.sparkSession)).drop("_nth")
+        return rows.join(several, met, "left_anti").select("*", first).unionByName(numbers)
+
+    return turned(docs), turned(placed)
+
+
 def mix_documents(docs: DataFrame, block_words: int = BLOCK_WORDS, seed: int = SEED) -> DataFrame:
     """The mix as documents with the columns of ``docs``: ``text`` is what the mix takes of each.
 
     Parts follow each other as in the document, with the white space before each word; parts taken
     twice follow once more, on a new line. Documents of which nothing is taken are left out, as the
-    weights ask. ``n_chars``, if there, is counted anew. Rows that share an id share their draws.
+    weights ask. ``n_chars``, if there, is counted anew. Each row has draws of its own, also where rows
+    share an id, a text or have no id.
     """
-    placed, totals = laid_out(docs, block_words)
+    sha = F.sha2(text_or_empty().cast("binary"), 256)
+    keyed = docs.withColumns({"_source": F.col("source").cast("string"), "_sha": sha})
+    placed, totals = laid_out(keyed, block_words, ("_sha",))
+    rows, placed = _with_turns(keyed, placed.filter("size > 0").withColumn("_source", F.col("source")))
     taken = mixed_parts(placed, totals, block_words, seed).filter("times > 0")
-    draws = taken.groupBy(F.col("doc_id").alias("_d")).agg(
-        F.array_sort(F.collect_set(F.struct("from", "to", "times"))).alias("_parts"),
+    draws = taken.groupBy(*[F.col(c).alias(f"{c}_d") for c in _ROW]).agg(
+        F.array_sort(F.collect_list(F.struct("from", "to", "times"))).alias("_parts"),
         F.sum(F.col("to") - F.col("from")).alias("_covered"),
         F.max("times").alias("_most"),
         F.max("size").alias("_size"),
     )
-    joined = docs.join(draws, F.col("doc_id").eqNullSafe(F.col("_d")))
+    same = F.lit(True)
+    for c in _ROW:
+        same = same & F.col(c).eqNullSafe(F.col(f"{c}_d"))
+    joined = rows.join(draws, same)
     pieces = joined.withColumn("_pieces", F.regexp_extract_all("text", F.lit(rf"[\x20\x09-\x0D]*{WORD}"), F.lit(0)))
 
     def copy(turn: int) -> Column:
