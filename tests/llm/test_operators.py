@@ -156,6 +156,23 @@ def test_a_text_linked_to_one_member_of_a_crowd(spark):
     assert got == components_of(sets)
 
 
+def test_many_families_around_one_boilerplate(spark):
+    """More outsiders than a window has: pairs across families are below the bound, each family is found."""
+    rng = random.Random(21)
+    texts = []
+    for family in range(300):
+        words = [f"f{family}_{k}" if k % 20 == 0 or k >= 190 else f"w{k}" for k in range(200)]
+        other = list(words)
+        for k in rng.sample(range(1, 180, 2), 9):
+            other[k] = f"y{family}_{k}"
+        texts += [" ".join(words), " ".join(other)]
+    order = rng.sample(range(600), 600)
+    frame = spark.createDataFrame([(order[i], t) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(frame, 2).collect()}
+    sets = {order[i]: {tuple(p) for p in zip(t.split(), t.split()[1:])} for i, t in enumerate(texts)}
+    assert got == components_of(sets) and len(set(got.values())) == 300
+
+
 def test_blocks_meet_all_blocks(spark, monkeypatch):
     """Outsiders and members in many blocks: every link of an outsider to its main component is found."""
     monkeypatch.setattr(near_dedup, "BLOCK_BYTES", 2000)
