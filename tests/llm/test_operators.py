@@ -1,5 +1,6 @@
 """Each operator on hand-made rows: nulls, empty and very long texts, ties, repeats, empty tables, clashing columns."""
 
+import math
 import random
 import re
 from collections import Counter
@@ -156,6 +157,23 @@ def test_a_text_linked_to_one_member_of_a_crowd(spark):
     assert got == components_of(sets)
 
 
+def test_all_pairs_of_a_region_meet(spark):
+    """A region of 64 in tasks of one row each: every pair is a candidate, in every order."""
+    signature = bytes(range(256))
+    classes = spark.createDataFrame([(i, 100, signature) for i in range(64)], "node long, n_shingles long, signature binary").repartition(64)
+    crowded = near_dedup.crowded_regions(classes)
+    assert crowded.isEmpty()
+    met = near_dedup.candidate_pairs(classes, crowded).collect()
+    assert {(r.a, r.b) for r in met} == {(a, b) for a in range(64) for b in range(a + 1, 64)}
+    assert {r.votes for r in met} == {near_dedup.ORDERS}
+
+
+def test_sketches_turn_down_fewer_than_the_orders_miss():
+    agree, n = near_dedup.SKETCH_AGREE, near_dedup.HASHES
+    turned_down = sum(math.comb(n, k) * 0.9**k * 0.1 ** (n - k) for k in range(agree))
+    assert turned_down < 0.1 * (1 - 0.8**near_dedup.DEPTH) ** near_dedup.ORDERS
+
+
 def test_many_families_around_one_boilerplate(spark):
     """More outsiders than a window has: pairs across families are below the bound, each family is found."""
     rng = random.Random(21)
