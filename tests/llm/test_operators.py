@@ -374,6 +374,20 @@ def test_html():
         html_text.main_text(broken)
 
 
+def test_an_article_is_a_feature_not_a_filter():
+    body = [f"This is the part {i} of the text that they wrote for the page, and it is not in an article at all." for i in range(4)]
+    teaser = "This is a short teaser of the other story, and it is in a card with the image of it."
+    page = "".join(f"<div>{b}</div>" for b in body) + f"<div><article><p>{teaser}</p></article></div>"
+    got = html_text.main_text(page).split("\n\n")
+    assert all(b in got for b in body)
+    advert = "SUPER SALE!!! Buy Brand Shoes Online Today, 50% discount, free shipping worldwide, click now"
+    links = "".join(f"<li><a href=/{i}>Source number {i}</a></li>" for i in range(3))
+    page = f"<div>Other things</div><article><p>{body[0]}</p><p>{advert}</p><p>{body[1]}</p><ul>{links}</ul></article>"
+    assert html_text.main_text(page).split("\n\n") == [body[0], body[1], *[f"Source number {i}" for i in range(3)]]
+    foreign = "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan, sanotaan julistuksessa."
+    assert html_text.main_text(f"<article><p>{foreign}</p></article>") == foreign
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.sampled_from(["<p>", "</p>", "<div class='ad'>", "</div>", "<a href=x>", "</a>", "<!--", "-->", "<script>", "</script>", "x", " the ", "<", "\"", "'", "&amp;", "<article>", "</article>"]), max_size=30).map("".join))
 def test_html_never_fails(page):

@@ -60,6 +60,9 @@ STOP_WORDS = frozenset(
     "al con de del el en es esta este la las lo los más no para pero por que se sin su sus un una y".split()
 )
 
+# Blocks of an article that hold few stop words by their nature.
+PLAIN_TAGS = frozenset("pre li dd dt td th table tr tbody caption figcaption ul ol dl".split())
+
 SHORT_CHARS, LONG_CHARS = 70, 200
 MAX_LINK_DENSITY = 0.33
 LOW_STOP_WORDS, HIGH_STOP_WORDS = 0.05, 0.12
@@ -201,23 +204,36 @@ def blocks(page: str) -> list[Block]:
     return found
 
 
-def _first_label(block: Block) -> int:
-    """Pass one: decided by links, length and stop words; short blocks and headings stay open."""
+def _density(block: Block) -> float:
+    words = _WORDS.findall(block.text.lower())
+    return sum(w in STOP_WORDS for w in words) / max(1, len(words))
+
+
+def _first_label(block: Block, telling: bool) -> int:
+    """Pass one: decided by links, length and stop words; short blocks and headings stay open.
+
+    In an article links speak for nothing, and a low density only against words in capitals. Where stop
+    words are not ``telling``, as the page's language has others, length decides in an article.
+    """
     size = len(block.text)
-    if block.in_article:
-        # Only a list of links speaks against a block of the article; short ones look at their neighbours.
-        if block.tag in ("li", "ul", "ol", "div", "section") and block.linked > 0.8 * size:
-            return BAD
-        return OPEN if size < SHORT_CHARS or block.tag in HEADINGS else GOOD
-    if block.linked > MAX_LINK_DENSITY * size:
+    if not block.in_article and block.linked > MAX_LINK_DENSITY * size:
         return BAD
     if size < SHORT_CHARS or block.tag in HEADINGS:
         return OPEN
-    words = _WORDS.findall(block.text.lower())
-    density = sum(w in STOP_WORDS for w in words) / max(1, len(words))
+    if block.in_article and (not telling or block.tag in PLAIN_TAGS):
+        return GOOD
+    density = _density(block)
     if density >= HIGH_STOP_WORDS or size >= LONG_CHARS and density >= LOW_STOP_WORDS:
         return GOOD
-    return BAD if density < LOW_STOP_WORDS and size < LONG_CHARS else OPEN
+    if density >= LOW_STOP_WORDS or size >= LONG_CHARS:
+        return OPEN
+    # A short sentence of an article may have no stop word; an advert also has most words in capitals.
+    return OPEN if block.in_article and not _capitals(block) else BAD
+
+
+def _capitals(block: Block) -> bool:
+    words = [w for w in _WORDS.findall(block.text) if w[0].isalpha()]
+    return 2 * sum(w[0].isupper() for w in words) >= len(words)
 
 
 def label(found: list[Block]) -> None:
@@ -228,8 +244,9 @@ def label(found: list[Block]) -> None:
     article is kept, and another is not. Without any decided block, blocks of an article and paragraphs
     are kept.
     """
+    telling = any(len(block.text) >= SHORT_CHARS and _density(block) >= HIGH_STOP_WORDS for block in found)
     for block in found:
-        block.label = _first_label(block)
+        block.label = _first_label(block, telling)
     before: list[int] = []
     last = OPEN
     for block in found:
@@ -254,11 +271,17 @@ def label(found: list[Block]) -> None:
 
 
 def main_text(page: str) -> str:
-    """Blocks of the article, white space made even, joined by an empty line."""
+    """Blocks of the main text, white space made even, joined by an empty line.
+
+    Blocks outside articles are left out only where articles hold most of what the rules accept.
+    """
     found = blocks(page)
-    if any(block.in_article for block in found):
-        found = [block for block in found if block.in_article]
     label(found)
+    accepted = [block for block in found if block.label == GOOD]
+    inside = sum(len(block.text) for block in accepted if block.in_article)
+    if 2 * inside > sum(len(block.text) for block in accepted):
+        found = [block for block in found if block.in_article]
+        label(found)
     return "\n\n".join(block.text for block in found if block.label == GOOD)
 
 
