@@ -349,6 +349,22 @@ def test_secrets(spark):
     assert secrets_scan.scan(docs.limit(0)).count() == 0
 
 
+def test_secrets_of_any_shape_after_a_name(spark):
+    """Short, digit-free and punctuated values are candidates; each is found whole and at its place."""
+    values = {
+        'password = "Tr0ub4dor"': "Tr0ub4dor", "pwd: hunterxyz": "hunterxyz", "DB_PASSWORD=p4ss!w0rd$2024 next": "p4ss!w0rd$2024",
+        "see https://user:s3cr.et~x@host/path": "s3cr.et~x", "secret='correct horse battery staple'": "correct horse battery staple",
+        "token = correct-horse-battery.": "correct-horse-battery", '{"password": "Abcdef.ghi"}': "Abcdef.ghi",
+        "Authorization: Bearer abc.def~ghi": "abc.def~ghi", "api_key: a1b2c3d4e5f6a7b8": "a1b2c3d4e5f6a7b8",
+        'passphrase "opensesame"': "opensesame", "id 0123456789abcdef": "0123456789abcdef",
+    }
+    docs = spark.createDataFrame(list(enumerate(values)), "doc_id long, text string")
+    got = {r.doc_id: (r.candidate, r.start, r.end) for r in secrets_scan.candidates(docs).collect()}
+    assert got == {i: (v, t.index(v), t.index(v) + len(v)) for i, (t, v) in enumerate(values.items())}
+    plain = spark.createDataFrame([(1, "the password of the user is on the desk, and the key to it too"), (2, "a token: one, pass: two")], "doc_id long, text string")
+    assert secrets_scan.candidates(plain).count() == 0
+
+
 def test_url_rules_need_a_token(spark):
     urls = spark.createDataFrame([("http://a.com/x",)], "url string")
     with pytest.raises(ValueError):

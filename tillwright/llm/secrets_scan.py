@@ -1,6 +1,7 @@
 """Secret scans with a random forest that removes false positives (operator 8).
 
-One regular expression proposes candidates: long runs of key characters with a digit. A random forest
+One regular expression proposes candidates: long runs of key characters with a digit, whatever is assigned
+to a secret's name or quoted after it, and passwords in URLs. A random forest
 on length, character transitions, dictionary coverage, path and neighbouring words, fitted on labelled
 findings, scores them. Everything runs as DataFrame expressions and Spark's own forest.
 """
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tillwright.llm.common import stored, text_or_empty
 
-CANDIDATE = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])[A-Za-z0-9+/_-]{12,}+={0,2}"
+KEY_RUN = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])[A-Za-z0-9+/_-]{12,}+={0,2}"
 CONTEXT = 40
 TREES, DEPTH, SEED = 24, 6, 5
 # The forest is fitted on at most so many labelled findings, those with the smallest hashes.
@@ -35,6 +36,15 @@ DICTIONARY = (
 ).split()
 SECRET_WORDS = r"(?i)(?<![a-z])(?:pass(?:word|wd|phrase)?|pwd|secret|token|api[_ -]?key|access[_ -]?key|private[_ -]?key|auth(?:orization)?|bearer|credential|key)s?(?![a-z])"
 PLAIN_WORDS = r"(?i)(?<![a-z])(?:example|sample|dummy|placeholder|commit|sha1|sha256|md5|checksum|digest|uuid|guid|hash|isbn|serial|card|visa|version|license)(?![a-z])"
+# A value of 6 characters or more after a secret's name: to the closing quote, or to the next space.
+_NAMED = SECRET_WORDS.replace("(?i)", "", 1)
+_AFTER_NAME = rf"(?<=[=:\"'`]|[=:][ \t]{{1,3}}|(?i:bearer)[ \t]{{1,3}})(?<=(?i:{_NAMED})[0-9_]{{0,3}}[\"'`\])]?[ \t]{{0,3}}[=:]?[=:>]?[ \t]{{0,3}}[\"'`]?)"
+_UNQUOTED = r"(?!(?i:bearer|basic)[ \t])[^\s\"'`,;<>]{5,}[^\s\"'`,;<>.)\]}]"
+NAMED_VALUE = _AFTER_NAME + rf"(?:(?<=\")[^\"\r\n]{{6,200}}(?=\")|(?<=')[^'\r\n]{{6,200}}(?=')|(?<=`)[^`\r\n]{{6,200}}(?=`)|{_UNQUOTED})"
+URL_PASSWORD = r"(?<=:)(?<=://[^\s/:@\"']{1,64}:)[^\s/@\"']{6,}(?=@)"
+CANDIDATE = rf"(?:{URL_PASSWORD}|{NAMED_VALUE}|{KEY_RUN})"
+# Values that stand where a secret would: variables, masks, placeholders.
+NO_VALUE = r"(?i)\A(?:[<$%{*(\[].*|x+|\.+|none|null|true|false|undefined|required|optional|unknown)\z"
 # Formats that providers publish; a finding in one of them is labelled as a secret.
 KNOWN_FORMATS = (
     r"\A(?:(?:AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[0-9A-Za-z-]{10,}|sk_live_[0-9A-Za-z]{16,}|AIza[0-9A-Za-z_-]{35})\z"
@@ -54,11 +64,13 @@ def _share(text: Column, characters: str) -> Column:
 def candidates(docs: DataFrame, path_column: str = "source") -> DataFrame:
     """doc_id, path, candidate, start, end (code points, end exclusive), before, after; a row per candidate.
 
+    Quoted values are taken up to 200 characters with their spaces, others to the next space or delimiter.
     Texts are scanned whole. Null and empty texts have none; repeated rows are scanned each; a missing
     path column counts as an empty path.
     """
     path = F.coalesce(F.col(path_column).cast("string"), F.lit("")) if path_column in docs.columns else F.lit("")
-    texts = docs.select("doc_id", path.alias("path"), text_or_empty().alias("text")).filter(F.col("text").rlike("[0-9]"))
+    texts = docs.select("doc_id", path.alias("path"), text_or_empty().alias("text"))
+    texts = texts.filter(F.col("text").rlike("[0-9]|://") | F.col("text").rlike(SECRET_WORDS))
     # \G goes on where the last match ended, so a text is passed over once.
     step = rf"(?s)\G(.*?)({CANDIDATE})"
     pieces = texts.withColumns(
@@ -135,8 +147,10 @@ def weak_label(found: DataFrame) -> DataFrame:
     secret's name, 0 for numbers, dictionary words and what its neighbours call something else; others have none.
     """
     c, before = F.col("candidate"), F.col("before")
-    secret = c.rlike(KNOWN_FORMATS) | (before.rlike(SECRET_WORDS) & before.rlike(r"[=:]\s*[\"']?\z"))
-    plain = c.rlike(r"\A[0-9_+/-]+=*\z") | before.rlike(PLAIN_WORDS) | (F.col("covered") > 0.5)
+    # Of values that are no long run, ordinary words after a name may be prose; those with a digit are not.
+    telling = c.rlike(rf"\A{KEY_RUN}\z") | (c.rlike("[0-9]") & c.rlike("[A-Za-z]"))
+    secret = c.rlike(KNOWN_FORMATS) | (before.rlike(SECRET_WORDS) & before.rlike(r"[=:]\s*[\"']?\z") & telling & ~c.rlike(NO_VALUE))
+    plain = c.rlike(r"\A[0-9_+/-]+=*\z") | before.rlike(PLAIN_WORDS) | (F.col("covered") > 0.5) | c.rlike(NO_VALUE)
     label = F.when(secret & ~before.rlike(PLAIN_WORDS), 1.0).when(plain, 0.0)
     return found.withColumn("label", label).filter("label IS NOT NULL")
 
