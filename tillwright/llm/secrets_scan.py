@@ -8,6 +8,8 @@ findings, scores them. Everything runs as DataFrame expressions and Spark's own
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -38,10 +40,12 @@ SECRET_WORDS = r"(?i)(?<![a-z])(?:pass(?:word|wd|phrase)?|pwd|secret|token|api[_
 PLAIN_WORDS = r"(?i)(?<![a-z])(?:example|sample|dummy|placeholder|commit|sha1|sha256|md5|checksum|digest|uuid|guid|hash|isbn|serial|card|visa|version|license)(?![a-z])"
 # A value of 6 characters or more after a secret's name: to the closing quote, or to the next space.
 _NAMED = SECRET_WORDS.replace("(?i)", "", 1)
-_AFTER_NAME = rf"(?<=[=:\"'`]|[=:][ \t]{{1,3}}|(?i:bearer)[ \t]{{1,3}})(?<=(?i:{_NAMED})[0-9_]{{0,3}}[\"'`\])]?[ \t]{{0,3}}[=:]?[=:>]?[ \t]{{0,3}}[\"'`]?)"
+_AFTER_NAME = rf"(?<=[=:\"'` \t])(?<=[=:\"'`]|[=:][ \t]{{1,3}}|(?i:bearer)[ \t]{{1,3}})(?<=(?i:{_NAMED})[0-9_]{{0,3}}[\"'`\])]?[ \t]{{0,3}}[=:]?[=:>]?[ \t]{{0,3}}[\"'`]?)"
 _UNQUOTED = r"(?!(?i:bearer|basic)[ \t])[^\s\"'`,;<>]{5,}[^\s\"'`,;<>.)\]}]"
 NAMED_VALUE = _AFTER_NAME + rf"(?:(?<=\")[^\"\r\n]{{6,200}}(?=\")|(?<=')[^'\r\n]{{6,200}}(?=')|(?<=`)[^`\r\n]{{6,200}}(?=`)|{_UNQUOTED})"
 URL_PASSWORD = r"(?<=:)(?<=://[^\s/:@\"']{1,64}:)[^\s/@\"']{6,}(?=@)"
+# Every secret's name, and every URL, holds one of these; other texts need the key runs only.
+NAME_PARTS = ("pass", "pwd", "secret", "token", "key", "auth", "bearer", "credential", "://")
 CANDIDATE = rf"(?:{URL_PASSWORD}|{NAMED_VALUE}|{KEY_RUN})"
 # Values that stand where a secret would: variables, masks, placeholders.
 NO_VALUE = r"(?i)\A(?:[<$%{*(\[].*|x+|\.+|none|null|true|false|undefined|required|optional|unknown)\z"
@@ -70,15 +74,17 @@ def candidates(docs: DataFrame, path_column: str = "source") -> DataFrame:
     """
     path = F.coalesce(F.col(path_column).cast("string"), F.lit("")) if path_column in docs.columns else F.lit("")
     texts = docs.select("doc_id", path.alias("path"), text_or_empty().alias("text"))
-    texts = texts.filter(F.col("text").rlike("[0-9]|://") | F.col("text").rlike(SECRET_WORDS))
+    lower = F.lower("text")
+    named = reduce(Column.__or__, [F.contains(lower, F.lit(part)) for part in NAME_PARTS])
+    texts = texts.withColumn("_named", named).filter(F.col("_named") | F.col("text").rlike("[0-9]"))
     # \G goes on where the last match ended, so a text is passed over once.
-    step = rf"(?s)\G(.*?)({CANDIDATE})"
-    pieces = texts.withColumns(
-        {
-            "_gaps": F.regexp_extract_all("text", F.lit(step), F.lit(1)),
-            "_found": F.regexp_extract_all("text", F.lit(step), F.lit(2)),
-        }
-    ).filter(F.size("_found") > 0)
+    whole, runs = (F.lit(rf"(?s)\G(.*?)({pattern})") for pattern in (CANDIDATE, KEY_RUN))
+
+    def matched(group: int) -> Column:
+        named_too = F.regexp_extract_all("text", whole, F.lit(group))
+        return F.when(F.col("_named"), named_too).otherwise(F.regexp_extract_all("text", runs, F.lit(group)))
+
+    pieces = texts.withColumns({"_gaps": matched(1), "_found": matched(2)}).filter(F.size("_found") > 0)
     # Gap and candidate lengths, summed up, give the places; the gaps' ends are the neighbouring words.
     lengths = F.zip_with("_gaps", "_found", lambda g, c: F.struct(F.length(g).alias("g"), F.length(c).alias("c")))
     initial = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts"))
