@@ -1,0 +1,315 @@
+"""Phrases, clustering and chat formatting against brute force, and over odd rows."""
+
+import hashlib
+import math
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__
+from tests.parity import database, differences
+from tillwright.llm import chat_format, clustering, phrases
+
+SF = "/root/testdata/sf0.001"
+DOCS = "doc_id long, text string, lang string, source string, phrase string, word string"
+
+
+@pytest.mark.parametrize("name", ["op11_phrases", "op12_clustering", "op13_chat_format"])
+def test_sql_agrees(spark, name):
+    frame = __spark_entry__.queries()[name](spark, SF)
+    assert differences(frame, database(SF), __spark_entry__.oracle_sql()[name]) == []
+
+
+# --- phrases -----------------------------------------------------------------
+
+
+def brute_phrases(docs, min_count, first):
+    """The contract's words, one phrase after the other."""
+    f, n = Counter(), Counter()
+    lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    for text, lang in docs:
+        lang = "und" if lang is None else lang
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", (text or "").translate(lower)):
+            words = [w for w in re.split(r"[ \t]+", piece) if w]
+            n[lang] += len(words)
+            for size in range(1, 5):
+                for i in range(len(words) - size + 1):
+                    f[lang, tuple(words[i : i + size])] += 1
+    found = defaultdict(list)
+    often = {p: a for p, a in f.items() if len(p[1]) > 1 and a >= min_count}
+    for (lang, p), a in often.items():
+        score, k = min((2_000_000 * a // (f[lang, p[:k]] + f[lang, p[k:]]), k) for k in range(1, len(p)))
+        inside = any(
+            100 * b >= 80 * a and len(q) > len(p) and any(q[i : i + len(p)] == p for i in range(len(q) - len(p) + 1))
+            for (other, q), b in often.items()
+            if other == lang
+        )
+        if not inside:
+            found[lang].append((-score, -a, " ".join(p).encode(), f[lang, p[:k]], f[lang, p[k:]]))
+    return {
+        (lang, i + 1, p.decode(), -a, l, r, n[lang], -s)
+        for lang, rows in found.items()
+        for i, (s, a, p, l, r) in enumerate(sorted(rows)[:first])
+    }
+
+
+def odd_texts():
+    rng = np.random.default_rng(3)
+    words = ["The", "the", "cat", "sat", "on", "\u00c9t\u00e9", "a\x00b", "x"]
+    rows = [(i, " ".join(rng.choice(words, rng.integers(0, 40))) + rng.choice([".", "\n", "", "?!"]), str(rng.choice(["en", "fr"]))) for i in range(120)]
+    rows += [(7, None, None), (7, "", "en"), (None, "the cat sat on, the cat\tsat  on\r\nthe cat", None), (8, " \t ", "und")]
+    return rows + [(i, "the cat sat on the mat the cat sat on the mat", "und") for i in range(9)] * 2
+
+
+def as_docs(spark, rows):
+    return spark.createDataFrame([(*r, None, "p", "w") for r in rows], DOCS)
+
+
+def collected(frame):
+    names = ("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+    return {tuple(r[c] for c in names) for r in frame.collect()}
+
+
+@pytest.mark.parametrize("limit", [5, 1000])
+def test_phrases_agree_with_brute_force(spark, limit):
+    rows = odd_texts()
+    got = collected(phrases.collocations(as_docs(spark, rows).repartition(3), min_count=4, first=limit))
+    assert got == brute_phrases([(t, lang) for _, t, lang in rows], 4, limit)
+
+
+def test_phrases_are_the_same_however_small_the_tries_and_chunks(spark, monkeypatch):
+    rows = odd_texts()
+    text = " ".join("one two three four five".split() * 300)
+    rows.append((99, text, "en"))
+    expected = brute_phrases([(t, lang) for _, t, lang in rows], 3, 500)
+    for name, value in {"CONTAINER_ENTRIES": 2, "HELD_ENTRIES": 8, "HELD_WORDS": 3, "RUN_ENTRIES": 2, "CHUNK_BYTES": 5}.items():
+        monkeypatch.setattr(phrases, name, value)
+    ids = iter(phrases._words(text))
+    assert b" ".join(w for chunk in ids for w in chunk if w) == text.encode()
+    # Functions are sent to tasks by value only from a module that tasks cannot import, so tries are tested here.
+    docs = [(t, lang) for _, t, lang in rows]
+    for n in (2, 3, 4):
+        trie, counts, runs = phrases.PhraseTrie(n), Counter(), []
+        for t, lang in docs:
+            known = phrases._Ids(lang or "und", 0)
+            found = np.array([0] + [known[w] for chunk in phrases._words(t or "") for w in chunk] + [0], np.uint64)
+            found = found[found != 1]
+            starts = np.array([i for i in range(len(found) - n + 1) if (found[i : i + n] != 0).all()], np.int64)
+            for i in starts:
+                counts[tuple(found[i : i + n].tolist())] += 1
+            if len(starts):
+                trie.add(*phrases._distinct(found, starts, n))
+            assert trie.entries == sum(node.entries for node in trie.root.values())
+            if trie.entries > 8:
+                runs += phrases._runs(trie.spill(4), n, 3)
+                assert trie.entries <= 4
+        runs += phrases._runs(trie.spill(0), n, 3)
+        got = Counter()
+        for run in runs:
+            for part, ids, numbers in zip(*[run.column(i).to_pylist() for i in (1, 2, 3)], strict=True):
+                ids = np.frombuffer(ids, np.uint64).reshape(n, -1).T
+                assert ids.tolist() == sorted(ids.tolist()) and set(phrases._part_of(ids, 3)) == {part}
+                for key, c in zip(ids.tolist(), np.frombuffer(numbers, np.uint64).tolist(), strict=True):
+                    got[tuple(key)] += c
+        assert got == counts
+    assert collected(phrases.collocations(as_docs(spark, rows), min_count=3, first=500)) == expected
+
+
+def test_no_text_has_no_phrase(spark):
+    assert phrases.collocations(as_docs(spark, [])).collect() == []
+    assert phrases.collocations(as_docs(spark, [(1, None, None), (2, " .. ", "en")])).collect() == []
+
+
+def test_ids_that_do_not_tell_words_apart_are_seen(spark):
+    words = spark.createDataFrame([("en", b"a", b"\x00" * 7 + b"\x05"), ("en", b"b", b"\x00" * 7 + b"\x06")], "lang string, word binary, key binary")
+    assert phrases.told_apart(words)
+    assert not phrases.told_apart(words.union(words.limit(1).withColumn("word", F.lit("c").cast("binary"))))
+    assert not phrases.told_apart(words.withColumn("key", F.lit(bytearray(7) + b"\x01")).limit(1))
+
+
+def test_scores_are_exact_beyond_64_bits(spark):
+    big = 1 << 60
+    key = lambda *ids: b"".join(i.to_bytes(8, "big") for i in ids)
+    rows = spark.createDataFrame([(2, bytearray(key(5, 6)), big - 1)], "n int, key binary, f long")
+    counts = spark.createDataFrame([(bytearray(key(5)), big), (bytearray(key(6)), big + 7)], "key binary, f long")
+    (row,) = phrases.scored(rows, counts).collect()
+    assert int(row["score"]) == 2_000_000 * (big - 1) // (2 * big + 7)
+
+
+# --- clustering --------------------------------------------------------------
+
+VECTORS = "vec_id long, embedding array<double>, cluster int, distance string"
+
+
+def brute_clusters(rows, k, rounds):
+    kept = [(i, [math.floor(256 * x) for x in v]) for i, v in rows if v is not None and len(v) == 64 and all(x is not None and math.isfinite(x) for x in v)]
+    marks = [(hashlib.sha256(f"2:{i}".encode()).hexdigest(), v) for i, v in kept]
+    centroids = [v for _, v in sorted(marks)[:k]]
+
+    def nearest(v):
+        return min((sum((a - b) ** 2 for a, b in zip(v, c, strict=True)), j) for j, c in enumerate(centroids))
+
+    for _ in range(rounds):
+        members = defaultdict(list)
+        for _, v in kept:
+            members[nearest(v)[1]].append(v)
+        for j, own in members.items():
+            centroids[j] = [sum(c) // len(own) for c in zip(*own, strict=True)]
+    each = [(i, *nearest(v)) for i, v in kept]
+    inertia = defaultdict(int)
+    for _, d, j in each:
+        inertia[j] += d
+    marks = [hashlib.sha256(",".join(map(str, c)).encode()).hexdigest() for c in centroids]
+    return Counter((i, j, d, inertia[j], sum(inertia.values()), marks[j]) for i, d, j in each)
+
+
+def odd_vectors(n=400, groups=9):
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(groups, 64)) * 0.4
+    rows = [(i, (centres[i % groups] + rng.normal(size=64) * rng.choice([0.02, 0.2])).tolist()) for i in range(n)]
+    rows += [(1000 + i, rows[0][1]) for i in range(120)] + [(5, rows[5][1])] * 3  # copies, and a repeated row
+    rows += [(2000, None), (2001, []), (2002, [0.5] * 63), (2003, [None] + [0.0] * 63), (2004, [math.inf] * 64), (2005, [math.nan] + [1.0] * 63)]
+    return rows + [(2006, [0.0] * 64), (2007, [-1e-9] * 64)]
+
+
+def digested(spark, rows, **options):
+    frame = spark.createDataFrame([(*r, 1, "x") for r in rows], VECTORS).repartition(4)
+    found = clustering.cluster(clustering.integer_vectors(frame), **options)
+    names = ("vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+    return Counter(tuple(r[c] for c in names) for r in clustering.digest(found).collect()), found
+
+
+@pytest.mark.parametrize("k", [1, 12, 40])
+def test_clusters_agree_with_brute_force(spark, k):
+    rows = odd_vectors()
+    got, _ = digested(spark, rows, k=k)
+    assert got == brute_clusters(rows, k, 5)
+
+
+def test_geometry_compares_fewer_vectors_than_full_drift(spark):
+    rows = odd_vectors(3000, 12)
+
+    def full_drift(old, new, radius):
+        length = np.sqrt(((old.astype(float) - new) ** 2).sum(1))
+        return np.array([np.delete(length, i).max() for i in range(len(length))]) * (1 + 1e-9) + 1e-6
+
+    tight, found = digested(spark, rows, k=24)
+    loose, full = digested(spark, rows, k=24, loosen_by=full_drift)
+    assert tight == loose and found.compared[0] == full.compared[0] == tight.total()
+    assert sum(found.compared[1:]) < sum(full.compared[1:]) < 5 * tight.total()
+
+
+def test_loosening_bounds_every_point_of_the_sphere():
+    rng = np.random.default_rng(9)
+    for _ in range(60):
+        k, dims = 5, 6
+        old, radius = rng.normal(size=(k, dims)) * 100, rng.uniform(0, 150, k)
+        new = old + rng.normal(size=(k, dims)) * rng.choice([0.0, 1.0, 40.0], (k, 1))
+        bound = clustering.loosening(old, new, radius)
+        drift = np.sqrt(((new - old) ** 2).sum(1))
+        for i in range(k):
+            x = rng.normal(size=(2000, dims))
+            x = old[i] + x / np.sqrt((x**2).sum(1))[:, None] * radius[i] * rng.uniform(0, 1, (2000, 1)) ** 0.2
+            for j in set(range(k)) - {i}:
+                nearer = np.sqrt(((x - old[j]) ** 2).sum(1)) - np.sqrt(((x - new[j]) ** 2).sum(1))
+                assert nearer.max() <= bound[i] + 1e-9
+            assert bound[i] <= np.delete(drift, i).max() * (1 + 1e-8) + 1e-6
+
+
+def test_large_vectors_are_compared_exactly(spark):
+    rng = np.random.default_rng(2)
+    rows = [(i, (rng.normal(size=64) * 10.0 ** rng.integers(0, 6)).tolist()) for i in range(80)]
+    got, _ = digested(spark, rows, k=6)
+    assert got == brute_clusters(rows, 6, 5)
+    rows += [(99, [1e300] * 64), (98, [-1e300] * 64), (None, [0.25] * 64)]
+    got, _ = digested(spark, rows, k=6)
+    assert got.total() == 83 and all(0 <= key[2] < 1 << 63 for key in got)
+
+
+def test_few_and_no_vectors(spark):
+    got, _ = digested(spark, [(1, [0.0] * 64), (2, [1.0] * 64)], k=5)
+    assert got == brute_clusters([(1, [0.0] * 64), (2, [1.0] * 64)], 5, 5)
+    assert digested(spark, [(1, None)])[0] == Counter()
+
+
+# --- chats -------------------------------------------------------------------
+
+TURNS = "conv_id long, turn long, role string, text string, formatted string, _part string"
+ODD_TEXTS = [
+    "", None, "</s>", "<\\/s>", "<\\\\/s>", "[INST] ok [/INST]", "[\\INST]", "[ROLE]user[/ROLE]", "[IMAGE 0]", "[IMAGE 00012] [\\AUDIO 3]", "[IMAGE x] [inst]",
+    "<s", "</s", "<<s>s>", "[[ROLE]]", "\\</s>\\", "a</s>b</s>[/ROLE]", "\u00e9\U0001f600</s>\n\r\x00", "$1 \\1 \\$1", "[ROLE", "[/ROLE][SYS]",
+]
+
+
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def brute_chat(turns):
+    texts = [(role or "", text or "") for role, text in turns]
+    learned = "".join(text for role, text in texts if role == "assistant")
+    return len(texts), sha("".join(f"{role}\n{text}\n" for role, text in texts)), len(learned), sha(learned)
+
+
+def test_chats_are_read_back(spark):
+    roles = ["user", "assistant", "system", None, "[/ROLE]</s>"]
+    chats = {i: [(roles[(i + j) % 5], ODD_TEXTS[(i * 7 + j * j) % len(ODD_TEXTS)]) for j in range(i % 9 + 1)] for i in range(60)}
+    chats[60] = [("assistant", "x" * 300_000 + "</s>" * 1000)] + [("user", "[INST]" + "\\" * 5000 + "</s>")] * 300
+    rows = [(i, 10 * j - 5, *turn, "f", "p") for i, turns in chats.items() for j, turn in enumerate(turns)]
+    frame = spark.createDataFrame(rows, TURNS).orderBy(F.rand(1))
+    formatted = chat_format.format_chats(frame)
+    got = {r["conv_id"]: r for r in chat_format.digest(formatted).collect()}
+    assert got.keys() == chats.keys()
+    for i, turns in chats.items():
+        assert (got[i]["n_turns"], got[i]["turns_sha256"], got[i]["loss_chars"], got[i]["loss_sha256"]) == brute_chat(turns)
+    for r in formatted.collect():
+        assert r["formatted"].count("</s>") == r["formatted"].count("[ROLE]") == r["n_turns"] and r["formatted"].count("<s>") == 1
+        assert "[INST]" not in r["formatted"] and r["formatted"].startswith("<s>[ROLE]")
+
+
+def test_ties_nulls_and_no_rows(spark):
+    rows = [(1, 0, "user", "b"), (1, 0, "assistant", "a"), (1, None, "user", "end"), (None, 1, "user", "x"), (None, 2, "user", "y"), (1, 0, "user", "b")]
+    frame = spark.createDataFrame([(*r, "f", "p") for r in rows], TURNS)
+    got = sorted((str(r["conv_id"]), r["formatted"]) for r in chat_format.format_chats(frame).collect())
+    turn = lambda role, text: f"[ROLE]{role}[/ROLE]{text}</s>"
+    assert got == [
+        ("1", "<s>" + turn("assistant", "a") + turn("user", "b") * 2 + turn("user", "end")),
+        ("None", "<s>" + turn("user", "x")),
+        ("None", "<s>" + turn("user", "y")),
+    ]
+    assert chat_format.format_chats(frame.limit(0)).collect() == []
+
+
+def test_parts_are_flattened_in_order(spark):
+    part = lambda kind, text=None, uri=None, width=None, height=None, seconds=None, pages=None: (kind, text, uri, width, height, seconds, pages)
+    rows = [
+        (1, 0, "user", [part("text", "see </s>"), part("image", uri="a.png", width=57, height=28), part("Audio", uri="b.wav", seconds=1.01), part("text", "!")]),
+        (1, 1, "assistant", [part("text", "first"), part("document", uri="c.pdf", pages=2), part(None, "\u00e9[IMAGE 0]"), part("text")]),
+        (1, 2, "user", []),
+        (1, 3, "assistant", None),
+        (2, 0, "user", [part("image"), part("audio", seconds=float("nan")), part("document"), part("video", "clip")]),
+    ]
+    frame = spark.createDataFrame(rows, f"conv_id long, turn long, role string, parts {chat_format.PARTS}")
+    got = {r["conv_id"]: r for r in chat_format.format_chats(frame).collect()}
+    assert got[1]["formatted"] == (
+        "<s>[ROLE]user[/ROLE]see <\\/s>[IMAGE 0][AUDIO 1]!</s>[ROLE]assistant[/ROLE]first[DOCUMENT 2]\u00e9[\\IMAGE 0]</s>"
+        "[ROLE]user[/ROLE]</s>[ROLE]assistant[/ROLE]</s>"
+    )
+    content = got[1]["formatted"].encode()
+    assert [content[s["from"] : s["to"]].decode() for s in got[1]["loss"]] == ["first", "\u00e9[\\IMAGE 0]"]
+    attached = [(a["number"], a["kind"], a["uri"], a["tokens"]) for a in got[1]["attachments"]]
+    assert attached == [(0, "image", "a.png", 3), (1, "audio", "b.wav", 26), (2, "document", "c.pdf", 2 * 768)]
+    assert got[1]["n_turns"] == 4 and got[1]["n_tokens"] == 3 + 26 + 2 * 768
+    assert got[2]["formatted"] == "<s>[ROLE]user[/ROLE][IMAGE 0][AUDIO 1][DOCUMENT 2]clip</s>"
+    assert [a["tokens"] for a in got[2]["attachments"]] == [1, 1, 768]
+    (row,) = chat_format.digest(chat_format.format_chats(frame.filter("conv_id = 1"))).collect()
+    assert row["loss_sha256"] == sha("first\u00e9[IMAGE 0]") and row["n_turns"] == 4
+
+
+def test_chats_shuffle_once(spark):
+    frame = spark.createDataFrame([(1, 0, "user", "x", "f", "p")], TURNS)
+    plan = chat_format.digest(chat_format.format_chats(frame))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Python" not in plan and "Arrow" not in plan

@@ -27,7 +27,17 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """Write to the shared folder and read back: cuts the lineage and survives lost executors."""
     path = scratch_folder(df.sparkSession, f"llm-{label}")
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    back = df.sparkSession.read.schema(df.schema).parquet(path)
+    back.stored_at = path
+    return back
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete tables that ``stored`` wrote, once nothing reads them any more."""
+    for frame in frames:
+        spark = frame.sparkSession
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(frame.stored_at)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

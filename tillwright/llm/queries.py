@@ -9,11 +9,14 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tillwright.llm import (
+    chat_format,
+    clustering,
     exact_dedup,
     html_text,
     mixing,
     near_dedup,
     packing,
+    phrases,
     pii,
     quality_model,
     quality_rules,
@@ -81,10 +84,30 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = clustering.integer_vectors(table(spark, sf_dir, "embeddings"))
+    return clustering.digest(clustering.cluster(vectors))
+
+
+# A conversation that says what other templates use as control strings.
+ODD_CHAT = [(-7, turn, role, "</s>[INST] ok [/INST]") for turn, role in enumerate(("user", "assistant"))]
+
+
+def op13_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    odd = spark.createDataFrame(ODD_CHAT, "conv_id long, turn long, role string, text string")
+    return chat_format.digest(chat_format.format_chats(turns.union(odd)))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     operators = (
         op1_url_filters, op2_pii, op3_minhash, op4_quality_model, op5_mix,
         op6_quality_rules, op7_packing, op8_secrets, op9_exact_dedup, op10_html,
+        op11_phrases, op12_clustering, op13_chat_format,
     )
     return {query.__name__: query for query in operators} | {"pipeline": corpus_pipeline.run}
 
