@@ -6,7 +6,10 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 import __spark_entry__
@@ -85,37 +88,71 @@ def test_phrases_are_the_same_however_small_the_tries_and_chunks(spark, monkeypa
     text = " ".join("one two three four five".split() * 300)
     rows.append((99, text, "en"))
     expected = brute_phrases([(t, lang) for _, t, lang in rows], 3, 500)
-    for name, value in {"CONTAINER_ENTRIES": 2, "HELD_ENTRIES": 8, "HELD_WORDS": 3, "RUN_ENTRIES": 2, "CHUNK_BYTES": 5}.items():
-        monkeypatch.setattr(phrases, name, value)
-    ids = iter(phrases._words(text))
-    assert b" ".join(w for chunk in ids for w in chunk if w) == text.encode()
-    # Functions are sent to tasks by value only from a module that tasks cannot import, so tries are tested here.
-    docs = [(t, lang) for _, t, lang in rows]
-    for n in (2, 3, 4):
-        trie, counts, runs = phrases.PhraseTrie(n), Counter(), []
-        for t, lang in docs:
-            known = phrases._Ids(lang or "und", 0)
-            found = np.array([0] + [known[w] for chunk in phrases._words(t or "") for w in chunk] + [0], np.uint64)
-            found = found[found != 1]
-            starts = np.array([i for i in range(len(found) - n + 1) if (found[i : i + n] != 0).all()], np.int64)
-            for i in starts:
-                counts[tuple(found[i : i + n].tolist())] += 1
-            if len(starts):
-                trie.add(*phrases._distinct(found, starts, n))
-            assert trie.entries == sum(node.entries for node in trie.root.values())
-            if trie.entries > 8:
-                runs += phrases._runs(trie.spill(4), n, 3)
-                assert trie.entries <= 4
-        runs += phrases._runs(trie.spill(0), n, 3)
-        got = Counter()
-        for run in runs:
-            for part, ids, numbers in zip(*[run.column(i).to_pylist() for i in (1, 2, 3)], strict=True):
-                ids = np.frombuffer(ids, np.uint64).reshape(n, -1).T
-                assert ids.tolist() == sorted(ids.tolist()) and set(phrases._part_of(ids, 3)) == {part}
-                for key, c in zip(ids.tolist(), np.frombuffer(numbers, np.uint64).tolist(), strict=True):
-                    got[tuple(key)] += c
-        assert got == counts
     assert collected(phrases.collocations(as_docs(spark, rows), min_count=3, first=500)) == expected
+    # Tasks read the module anew, so its parts are run here.
+    for name, value in {"CONTAINER_ENTRIES": 3, "HELD_ENTRIES": 12, "RUN_ENTRIES": 2, "CHUNK_BYTES": 5}.items():
+        monkeypatch.setattr(phrases, name, value)
+    texts = [t or "" for _, t, _ in rows]
+    chunks = [words for part in (texts[:50], texts[50:]) for words in phrases._words(part)]
+    assert len(chunks) > 1000
+    every = phrases.Filter(np.full(1 << 17, 255, np.uint8))
+    counts, pieces = Counter(), [p.split() for t in texts for p in re.split(r"[.,;:!?\x0A-\x0D]", t.replace("T", "t"))]
+    known = {}
+    for words in pieces:
+        ids = phrases.word_ids("en", pa.array([w.encode() for w in words], pa.binary()), 0).tolist()
+        known |= dict(zip(words, ids, strict=True))
+        for n in (2, 3, 4):
+            counts.update(tuple(ids[i : i + n]) for i in range(len(ids) - n + 1))
+    got = Counter()
+    for run in phrases.counted((("en", words) for words in chunks), (2, 3, 4), 0, every, every, 3):
+        for n, part, ids, numbers in zip(*[c.to_pylist() for c in run.columns], strict=True):
+            ids = np.frombuffer(ids, np.uint64).reshape(n, -1).T
+            assert ids.tolist() == sorted(ids.tolist()) and set(phrases._part_of(ids, 3).tolist()) == {part} and len(ids) <= 2
+            for key, c in zip(ids.tolist(), np.frombuffer(numbers, np.uint64).tolist(), strict=True):
+                got[tuple(key)] += c
+    assert got == counts
+    # Phrases with a word that is not let through are not there, also across chunks.
+    only = phrases.Filter(np.zeros(1 << 17, np.uint8))
+    for word in ("the", "cat", "sat"):
+        for shift, mask in phrases.Filter._positions(1 << 20):
+            at = (known[word] >> shift) & mask
+            only.bits[at >> 3] |= 1 << (at & 7)
+    got = Counter()
+    for run in phrases.counted((("en", words) for words in chunks), (3,), 0, only, None, 3):
+        for ids, numbers in zip(run.column(2).to_pylist(), run.column(3).to_pylist(), strict=True):
+            for key, c in zip(np.frombuffer(ids, np.uint64).reshape(3, -1).T.tolist(), np.frombuffer(numbers, np.uint64).tolist(), strict=True):
+                got[tuple(key)] += c
+    may = {known[w] for w in ("the", "cat", "sat")}
+    assert got == Counter({key: c for key, c in counts.items() if len(key) == 3 and may.issuperset(key)})
+
+
+@given(st.lists(st.text("aB .\n\t\u00e9", max_size=30), max_size=5), st.integers(1, 9))
+@settings(max_examples=300, deadline=None)
+def test_words_are_cut_alike_in_chunks_of_any_size(texts, size):
+    wanted = []
+    for text in texts:
+        for piece in re.split(r"[.\n]", text.replace("B", "b")):
+            wanted += [(w.encode(), i > 0) for i, w in enumerate(re.findall(r"[^ \t]+", piece))]
+    before, phrases.CHUNK_BYTES = phrases.CHUNK_BYTES, size
+    try:
+        got = [(c.dictionary[int(code)].as_py(), bool(f)) for c in phrases._words(texts) for code, f in zip(c.codes, c.follows, strict=True)]
+    finally:
+        phrases.CHUNK_BYTES = before
+    assert got == wanted
+
+
+def test_containers_count_like_a_dictionary():
+    rng = np.random.default_rng(4)
+    trie, wanted = phrases.PhraseTrie(3), Counter()
+    for _ in range(20):
+        ids = np.unique(rng.integers(0, 9, (300, 3)).astype(np.uint64) << np.uint64(60), axis=0)
+        counts = rng.integers(1, 5, len(ids)).astype(np.uint64)
+        trie.add(ids, counts)
+        wanted.update(dict(zip(map(tuple, ids.tolist()), counts.tolist(), strict=True)))
+    got = Counter()
+    for ids, counts in trie.spill(0):
+        got.update(dict(zip(map(tuple, ids.tolist()), counts.tolist(), strict=True)))
+    assert got == wanted and trie.entries == 0
 
 
 def test_no_text_has_no_phrase(spark):
@@ -127,7 +164,6 @@ def test_ids_that_do_not_tell_words_apart_are_seen(spark):
     words = spark.createDataFrame([("en", b"a", b"\x00" * 7 + b"\x05"), ("en", b"b", b"\x00" * 7 + b"\x06")], "lang string, word binary, key binary")
     assert phrases.told_apart(words)
     assert not phrases.told_apart(words.union(words.limit(1).withColumn("word", F.lit("c").cast("binary"))))
-    assert not phrases.told_apart(words.withColumn("key", F.lit(bytearray(7) + b"\x01")).limit(1))
 
 
 def test_scores_are_exact_beyond_64_bits(spark):

@@ -48,11 +48,11 @@ def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
-def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The same rows in batches of bounded bytes (one row at least)."""
+def slices(batches: Iterator[pa.RecordBatch], most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``most`` bytes (one row at least)."""
     for batch in batches:
         start, held = 0, batch.num_rows
-        step = max(1, held if not batch.nbytes else int(held * SLICE_BYTES / batch.nbytes))
+        step = max(1, held if not batch.nbytes else int(held * most / batch.nbytes))
         while start < held:
             yield batch.slice(start, step)
             start += step

@@ -14,9 +14,8 @@ let every frequent one through, and at times another, whose count then falls sho
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -32,11 +31,11 @@ FIRST = 2000
 CONTAINED_PERCENT = 80
 NO_LANGUAGE = "und"
 
-CONTAINER_ENTRIES = 4096  # more burst it
+CONTAINER_ENTRIES = 65_536  # more burst it
 HELD_ENTRIES = 1_000_000  # of a task's tries; more are spilled
-HELD_WORDS = 500_000
+HELD_WORDS = 400_000
 RUN_ENTRIES = 32_768
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 6 << 20
 PARTS_A_PARTITION = 2
 FILTER_BITS = (1 << 20, 1 << 28)  # least and most
 
@@ -48,77 +47,106 @@ _CLEAN = bytes.maketrans(_LOWER[0] + _BREAKS + b"\t", _LOWER[1] + b"\n" * len(_B
 # --- words -------------------------------------------------------------------
 
 
-def _words(text: str) -> Iterator[list[bytes]]:
-    """The words of a text in lists, with a newline for each end of a piece and empty ones to be left out."""
-    clean = text.encode().translate(_CLEAN)
-    at = 0
+@dataclass(frozen=True)
+class Words:
+    """Words in order, as places in a dictionary, and whether each follows the one before in its piece."""
+
+    dictionary: pa.Array
+    codes: np.ndarray
+    follows: np.ndarray
+
+
+def _encoded(chunk: bytes, follows: bool) -> tuple[Words, bool]:
+    """The words of clean text, whose first may follow a word before it; and whether one behind it may follow its last."""
+    data = np.frombuffer(chunk, np.uint8)
+    ends_piece = data == 10
+    inside = ~(ends_piece | (data == 32))
+    edges = np.diff(inside.astype(np.int8), prepend=0, append=0)
+    starts, ends = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
+    offsets = np.concatenate([[0], np.cumsum(ends - starts)]).astype(np.int64)
+    buffers = [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data[inside]))]
+    words = pa.Array.from_buffers(pa.large_binary(), len(starts), buffers).dictionary_encode()
+    # Breaks before each word: a word follows if there is none since the word before.
+    breaks = np.flatnonzero(ends_piece)
+    before = np.searchsorted(breaks, starts)
+    same = before == np.concatenate([[0 if follows else -1], before[:-1]])
+    open_end = follows and not len(breaks) if not len(starts) else not len(breaks) or bool(breaks[-1] < starts[-1])
+    return Words(words.dictionary, words.indices.to_numpy(zero_copy_only=False), same[: len(starts)]), open_end
+
+
+def _words(texts: list[str]) -> Iterator[Words]:
+    """The words of texts, each of which ends a piece, in chunks of bounded bytes cut between words."""
+    clean = b"\n".join(text.encode() for text in texts).translate(_CLEAN) + b"\n"
+    at, follows = 0, False
     while at < len(clean):
         end = at + CHUNK_BYTES
         if end < len(clean):
             cut = max(clean.rfind(b" ", at, end), clean.rfind(b"\n", at, end))
             # A word longer than a chunk is kept whole.
             ends = [e for e in (clean.find(b" ", end), clean.find(b"\n", end)) if e >= 0]
-            end = cut + 1 if cut >= at else min(ends, default=len(clean) - 1) + 1
-        yield clean[at:end].replace(b"\n", b" \n ").split(b" ")
+            end = cut + 1 if cut >= at else min(ends) + 1
+        words, follows = _encoded(clean[at:end], follows)
+        yield words
         at = end
 
 
-def word_id(lang: str, word: bytes, seed: int) -> int:
-    return xxhash.xxh3_64_intdigest(lang.encode() + b"\0" + word, seed)
-
-
-_BREAK, _NONE = 0, 1  # of no word, which the check of ids sees to
+def word_ids(lang: str, words: pa.Array, seed: int) -> np.ndarray:
+    prefix, number = lang.encode() + b"\0", xxhash.xxh3_64_intdigest
+    return np.fromiter((number(prefix + word, seed) for word in words.to_pylist()), np.uint64, len(words))
 
 
-class _Ids(dict):
-    def __init__(self, lang: str, seed: int):
-        super().__init__({b"\n": _BREAK, b"": _NONE})
-        self.lang, self.seed = lang, seed
-
-    def __missing__(self, word: bytes) -> int:
-        number = word_id(self.lang, word, self.seed)
-        if len(self) < 300_000:
-            self[word] = number
-        return number
+def _keys(ids: np.ndarray) -> pa.Array:
+    """Rows of ids as binary, 8 bytes each, which sort as the numbers do."""
+    flat, width = ids.astype(">u8").tobytes(), 8 * (ids.shape[1] if ids.ndim > 1 else 1)
+    return pa.array([flat[i : i + width] for i in range(0, len(flat), width)], pa.binary())
 
 
 def _source(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce(F.col("lang").cast("string"), F.lit(NO_LANGUAGE)).alias("lang"), text_or_empty().alias("text"))
 
 
+def _by_lang(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, Words]]:
+    for batch in slices(batches, CHUNK_BYTES):
+        texts: dict[str, list[str]] = {}
+        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            texts.setdefault(lang, []).append(text)
+        for lang, own in texts.items():
+            for words in _words(own):
+                yield lang, words
+
+
 def word_counts(docs: DataFrame, seed: int = 0) -> DataFrame:
     """lang, word (binary), key (its id, 8 bytes), f: how often each word occurs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, Counter] = {}
-
-        def spilled() -> pa.RecordBatch:
-            rows = [(lang, word, n) for lang, counts in held.items() for word, n in sorted(counts.items()) if word not in (b"", b"\n")]
+        held: dict[str, list[pa.Table]] = {}
+
+        def summed(lang: str) -> pa.Table:
+            held[lang] = [pa.concat_tables(held[lang]).group_by("word", use_threads=False).aggregate([("f", "sum")]).rename_columns(["word", "f"])]
+            return held[lang][0]
+
+        def spilled() -> Iterator[pa.RecordBatch]:
+            for lang in held:
+                rows = summed(lang)
+                words = rows["word"].combine_chunks().cast(pa.binary())
+                columns = [pa.array([lang] * len(words), pa.string()), words, _keys(word_ids(lang, words, seed)), rows["f"].combine_chunks()]
+                yield pa.RecordBatch.from_arrays(columns, ["lang", "word", "key", "f"])
             held.clear()
-            langs, words, counts = zip(*rows, strict=True) if rows else ((), (), ())
-            keys = [word_id(lang, word, seed).to_bytes(8, "big") for lang, word in zip(langs, words, strict=True)]
-            return pa.RecordBatch.from_arrays(
-                [pa.array(langs, pa.string()), pa.array(words, pa.binary()), pa.array(keys, pa.binary()), pa.array(counts, pa.int64())],
-                ["lang", "word", "key", "f"],
-            )
 
-        for batch in slices(batches):
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                counts = held.setdefault(lang, Counter())
-                for words in _words(text):
-                    counts.update(words)
-            if sum(map(len, held.values())) > HELD_WORDS:
-                yield spilled()
-        yield spilled()
+        for lang, words in _by_lang(batches):
+            counts = np.bincount(words.codes, minlength=len(words.dictionary))
+            held.setdefault(lang, []).append(pa.table({"word": words.dictionary, "f": pa.array(counts, pa.int64())}))
+            if sum(len(t) for tables in held.values() for t in tables) > 2 * HELD_WORDS and sum(len(summed(each)) for each in held) > HELD_WORDS:
+                yield from spilled()
+        yield from spilled()
 
     each = _source(docs).mapInArrow(run, "lang string, word binary, key binary, f long")
     return each.groupBy("lang", "word", "key").agg(F.sum("f").alias("f"))
 
 
 def told_apart(words: DataFrame) -> bool:
-    """Whether no two words have the same id, and none that of a break or of nothing."""
-    reserved = F.col("key").isin([bytearray(n.to_bytes(8, "big")) for n in (_BREAK, _NONE)])
-    return words.groupBy("key").count().filter((F.col("count") > 1) | reserved).isEmpty()
+    """Whether no two words have the same id."""
+    return words.groupBy("key").count().filter("count > 1").isEmpty()
 
 
 # --- filters -----------------------------------------------------------------
@@ -155,7 +183,7 @@ class Filter:
         at = marks.select(F.explode(places).alias("_at"))
         parts = at.groupBy(F.bitmap_bucket_number("_at").alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("_at")).alias("bits"))
         out = np.zeros(size // 8, np.uint8)
-        for row in parts.toLocalIterator():
+        for row in parts.collect():  # 8192 rows of 4 KB at most
             start = (row["part"] - 1) * 4096
             out[start : start + 4096] = np.frombuffer(bytes(row["bits"]), np.uint8)[: size // 8 - start]
         return Filter(out)
@@ -171,70 +199,102 @@ class Filter:
 # --- tries -------------------------------------------------------------------
 
 
-@dataclass
+class _Container:
+    """A hash table of phrases (rows of word ids) with counts, open addressing, at most half full."""
+
+    def __init__(self, n: int, size: int = 64):
+        self.ids, self.counts, self.entries = np.zeros((size, n), np.uint64), np.zeros(size, np.uint64), 0
+
+    def items(self) -> tuple[np.ndarray, np.ndarray]:
+        used = np.flatnonzero(self.counts)
+        return self.ids[used], self.counts[used]
+
+    def add(self, ids: np.ndarray, counts: np.ndarray) -> None:
+        """Count phrases that differ from each other."""
+        size = len(self.counts)
+        while size < 2 * (self.entries + len(ids)):
+            size *= 2
+        if size > len(self.counts):
+            held = self.items()
+            self.ids, self.counts, self.entries = np.zeros((size, ids.shape[1]), np.uint64), np.zeros(size, np.uint64), 0
+            self._insert(*held)
+        self._insert(ids, counts)
+
+    def _insert(self, ids: np.ndarray, counts: np.ndarray) -> None:
+        mark, mask = ids[:, 0], np.uint64(len(self.counts) - 1)
+        for i in range(1, ids.shape[1]):
+            mark = _pair_marks(mark, ids[:, i])
+        at, left = (mark & mask).astype(np.int64), np.arange(len(ids))
+        while len(left):
+            slot = at[left]
+            free = self.counts[slot] == 0
+            # Where several want the same free slot, the last one gets it.
+            self.ids[slot[free]] = ids[left[free]]
+            mine = (self.ids[slot] == ids[left]).all(1)
+            self.entries += int((mine & free).sum())
+            self.counts[slot[mine]] += counts[left[mine]]
+            left = left[~mine]
+            at[left] = (at[left] + 1) & int(mask)
+
+
 class _Node:
-    """A container of the word ids that follow (8 bytes each) with counts, or, once burst, a node per next id."""
+    """A container, or, once that held many entries, sixteen nodes by the leading digit of the next word's id."""
 
-    held: dict[bytes, int] | None = field(default_factory=dict)
-    children: dict[bytes, _Node] = field(default_factory=dict)
-    entries: int = 0
+    def __init__(self, n: int, depth: int):
+        self.n, self.depth, self.entries = n, depth, 0
+        self.held: _Container | None = _Container(n)
+        self.children: dict[int, _Node] = {}
 
-    def add(self, keys: list[bytes], counts: list[int]) -> int:
-        """Count sorted keys; how many are new."""
-        before = self.entries
+    def add(self, ids: np.ndarray, counts: np.ndarray) -> None:
         if self.held is None:
-            start = 0
-            while start < len(keys):
-                first, end = keys[start][:8], start + 1
-                while end < len(keys) and keys[end][:8] == first:
-                    end += 1
-                child = self.children.setdefault(first, _Node())
-                self.entries += child.add([k[8:] for k in keys[start:end]], counts[start:end])
-                start = end
-            return self.entries - before
-        held = self.held
-        for key, n in zip(keys, counts, strict=True):
-            held[key] = held.get(key, 0) + n
-        self.entries = len(held)
-        if self.entries > CONTAINER_ENTRIES and len(keys[0]) > 8:
-            items, self.held, self.entries = sorted(held.items()), None, 0
-            return self.add([k for k, _ in items], [n for _, n in items]) - before
-        return self.entries - before
-
-    def items(self, prefix: bytes) -> Iterator[tuple[bytes, int]]:
+            digit = (ids[:, self.depth] >> np.uint64(60)).astype(np.uint8)
+            for d in np.unique(digit).tolist():
+                own = digit == d
+                self.children.setdefault(d, _Node(self.n, self.depth + 1)).add(ids[own], counts[own])
+            self.entries = sum(child.entries for child in self.children.values())
+            return
+        self.held.add(ids, counts)
+        self.entries = self.held.entries
+        if self.entries > CONTAINER_ENTRIES and self.depth < self.n:
+            held, self.held = self.held.items(), None
+            self.add(*held)
+
+    def items(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         if self.held is not None:
-            for key, n in self.held.items():
-                yield prefix + key, n
-        else:
-            for first, child in self.children.items():
-                yield from child.items(prefix + first)
+            yield self.held.items()
+        for child in self.children.values():
+            yield from child.items()
 
 
 class PhraseTrie:
-    """Counts of phrases of one length, by word ids."""
+    """Counts of phrases of n words by their ids; each level of the trie takes the leading digit of one word's id."""
 
     def __init__(self, n: int):
-        self.n, self.root, self.entries = n, {}, 0
+        self.n, self.root = n, _Node(n, 0)
+
+    @property
+    def entries(self) -> int:
+        return self.root.entries
 
     def add(self, ids: np.ndarray, counts: np.ndarray) -> None:
-        """Count the rows of ``ids``, which are sorted and differ from each other."""
-        if not len(ids):
-            return
-        flat, width = ids.astype(">u8").tobytes(), 8 * self.n
-        numbers = counts.tolist()
-        starts = np.flatnonzero(np.concatenate([[True], ids[1:, 0] != ids[:-1, 0]])).tolist()
-        for start, end in zip(starts, [*starts[1:], len(ids)], strict=True):
-            node = self.root.setdefault(flat[start * width : start * width + 8], _Node())
-            self.entries += node.add([flat[i * width + 8 : (i + 1) * width] for i in range(start, end)], numbers[start:end])
-
-    def spill(self, keep: int) -> Iterator[tuple[bytes, int]]:
+        """Count rows of ``ids`` that differ from each other."""
+        if len(ids):
+            self.root.add(ids, counts)
+
+    def spill(self, keep: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Take out whole subtrees, the largest first, until at most ``keep`` entries are held."""
-        for first in sorted(self.root, key=lambda k: -self.root[k].entries):
-            if self.entries <= keep:
+        root = self.root
+        if root.held is not None:
+            if root.entries > keep:
+                yield root.held.items()
+                self.root = _Node(self.n, 0)
+            return
+        for digit in sorted(root.children, key=lambda d: -root.children[d].entries):
+            if root.entries <= keep:
                 return
-            node = self.root.pop(first)
-            self.entries -= node.entries
-            yield from node.items(first)
+            subtree = root.children.pop(digit)
+            root.entries -= subtree.entries
+            yield from subtree.items()
 
 
 def _part_of(ids: np.ndarray, parts: int) -> np.ndarray:
@@ -248,15 +308,16 @@ def _part_of(ids: np.ndarray, parts: int) -> np.ndarray:
 _RUN = "n int, part int, ids binary, counts binary"
 
 
-def _runs(items: Iterator[tuple[bytes, int]], n: int, parts: int) -> Iterator[pa.RecordBatch]:
-    """Entries as sorted runs, each of one prefix partition."""
-    keys, counts = zip(*items, strict=True) if (items := list(items)) else ((), ())
-    if not keys:
+def _runs(subtrees: Iterator[tuple[np.ndarray, np.ndarray]], n: int, parts: int) -> Iterator[pa.RecordBatch]:
+    """The entries of subtrees as sorted runs, each of one prefix partition."""
+    taken = list(subtrees)
+    ids = np.concatenate([np.zeros((0, n), np.uint64), *[i for i, _ in taken]])
+    if not len(ids):
         return
-    ids = np.frombuffer(b"".join(keys), ">u8").reshape(-1, n).astype(np.uint64)
+    numbers = np.concatenate([c for _, c in taken])
     part = _part_of(ids, parts)
     order = np.lexsort([*ids.T[::-1], part])
-    ids, part, numbers = ids[order], part[order], np.array(counts, "<u8")[order]
+    ids, part, numbers = ids[order], part[order], numbers[order]
     cuts = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
     rows = [(a, min(a + RUN_ENTRIES, end)) for start, end in zip(cuts, [*cuts[1:], len(part)], strict=True) for a in range(start, end, RUN_ENTRIES)]
     for at in range(0, len(rows), 1024):
@@ -272,13 +333,52 @@ def _runs(items: Iterator[tuple[bytes, int]], n: int, parts: int) -> Iterator[pa
         )
 
 
-def _distinct(ids: np.ndarray, start: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct phrases of n ids from each of ``start`` on, sorted, and how often they are there."""
-    code, first = np.zeros(len(start), np.int64), start
-    for i in range(n):
-        known, dense = np.unique(ids[start + i], return_inverse=True)
-        _, first, code, counts = np.unique(code * len(known) + dense, return_index=True, return_inverse=True, return_counts=True)
-    return np.stack([ids[start[first] + i] for i in range(n)], axis=1), counts
+def _distinct(codes: np.ndarray, known: int, start: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of the phrases of n codes from each of ``start`` on: where each distinct one is first, and how often it is there."""
+    code, most = codes[start].astype(np.int64), known
+    for i in range(1, n):
+        if most * known >= 1 << 62:
+            _, code = np.unique(code, return_inverse=True)
+            most = len(start)
+        code, most = code * known + codes[start + i], most * known
+    _, first, counts = np.unique(code, return_index=True, return_counts=True)
+    return start[first], counts
+
+
+def counted(
+    chunks: Iterator[tuple[str, Words]], lengths: tuple[int, ...], seed: int, words: Filter, pairs: Filter | None, parts: int
+) -> Iterator[pa.RecordBatch]:
+    """Runs of the phrases of some lengths, of words and pairs that the filters let through, in chunks of texts."""
+    tries = [PhraseTrie(n) for n in lengths]
+    behind = np.zeros(0, np.uint64), np.zeros(0, bool)  # the last words of a text that goes on, and what they follow
+    for lang, chunk in chunks:
+        own = word_ids(lang, chunk.dictionary, seed)
+        may = words.has(own)[chunk.codes]
+        codes, known, ids, follows = chunk.codes, len(own), own[chunk.codes], chunk.follows & may
+        follows[1:] &= may[:-1]
+        old = len(behind[0]) if len(follows) and follows[0] else 0
+        if old:
+            ids, follows = np.concatenate([behind[0], ids]), np.concatenate([behind[1], follows])
+            distinct, codes = np.unique(ids, return_inverse=True)
+            follows[old] &= bool(words.has(ids[old - 1 : old])[0])
+            known = len(distinct)
+        if pairs is not None:
+            at = np.flatnonzero(follows[1:])
+            follows[at + 1] = pairs.has(_pair_marks(ids[at], ids[at + 1]))
+        for trie in tries:
+            whole = np.ones(max(0, len(ids) - trie.n + 1), bool)
+            for i in range(1, trie.n):
+                whole &= follows[i : len(whole) + i]
+            start = np.flatnonzero(whole)
+            first, counts = _distinct(codes, known, start[start + trie.n > old], trie.n)
+            trie.add(np.stack([ids[first + i] for i in range(trie.n)], axis=1), counts.astype(np.uint64))
+            if trie.entries > HELD_ENTRIES // len(tries):
+                yield from _runs(trie.spill(HELD_ENTRIES // len(tries) // 2), trie.n, parts)
+        behind = (ids[1 - MOST_WORDS :], follows[1 - MOST_WORDS :].copy()) if len(chunk.codes) else behind
+        if len(behind[1]):
+            behind[1][0] = False
+    for trie in tries:
+        yield from _runs(trie.spill(0), trie.n, parts)
 
 
 def _phrase_counts(docs: DataFrame, lengths: tuple[int, ...], seed: int, words, pairs, min_count: int) -> DataFrame:
@@ -289,34 +389,7 @@ def _phrase_counts(docs: DataFrame, lengths: tuple[int, ...], seed: int, words,
     parts = PARTS_A_PARTITION * shuffle_partitions(docs.sparkSession)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, _Ids] = {}
-        tries = [PhraseTrie(n) for n in lengths]
-        for batch in slices(batches):
-            found = [np.zeros(1, np.uint64)]
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                number = known.get(lang)
-                if number is None:
-                    if len(known) >= 64:  # langs of a task are few; else their words are not all kept
-                        known.clear()
-                    number = known[lang] = _Ids(lang, seed)
-                found += [np.fromiter(map(number.__getitem__, chunk), np.uint64, len(chunk)) for chunk in _words(text)]
-                found.append(found[0])
-            ids = np.concatenate(found)
-            ids = ids[ids != _NONE]
-            may = (ids != _BREAK) & words.value.has(ids)
-            joined = may[:-1] & may[1:]
-            if pairs is not None:
-                at = np.flatnonzero(joined)
-                joined[at] = pairs.value.has(_pair_marks(ids[at], ids[at + 1]))
-            for trie in tries:
-                whole = joined[: len(joined) - trie.n + 2].copy()
-                for i in range(1, trie.n - 1):
-                    whole &= joined[i : len(joined) - trie.n + 2 + i]
-                trie.add(*_distinct(ids, np.flatnonzero(whole), trie.n))
-                if trie.entries > HELD_ENTRIES // len(tries):
-                    yield from _runs(trie.spill(HELD_ENTRIES // len(tries) // 2), trie.n, parts)
-        for trie in tries:
-            yield from _runs(trie.spill(0), trie.n, parts)
+        return counted(_by_lang(batches), lengths, seed, words.value, pairs.value if pairs else None, parts)
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
@@ -334,11 +407,10 @@ def _phrase_counts(docs: DataFrame, lengths: tuple[int, ...], seed: int, words,
             sums = np.add.reduceat(counts, starts)
             kept = sums >= min_count
             ids, sums = ids[starts[kept]], sums[kept]
-            flat, width = ids.astype(">u8").tobytes(), 8 * ids.shape[1]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.full(len(ids), ids.shape[1], np.int32)),
-                    pa.array([flat[i * width : (i + 1) * width] for i in range(len(ids))], pa.binary()),
+                    _keys(ids),
                     pa.array(_pair_marks(ids[:, 0], ids[:, 1]).view(np.int64)),
                     pa.array(sums.astype(np.int64)),
                 ],
