@@ -426,7 +426,8 @@ def _phrase_counts(docs: DataFrame, lengths: tuple[int, ...], seed: int, words,
         yield from merged()
 
     runs = _source(docs).mapInArrow(count, _RUN)
-    dealt = runs.repartition(shuffle_partitions(docs.sparkSession), "part").sortWithinPartitions("n", "part")
+    tasks = shuffle_partitions(docs.sparkSession)
+    dealt = runs.repartitionById(tasks, F.col("part") % tasks).sortWithinPartitions("n", "part")
     return dealt.mapInArrow(merge, "n int, key binary, mark long, f long")
 
 
@@ -498,7 +499,13 @@ def collocations(docs: DataFrame, min_count: int = MIN_COUNT, first: int = FIRST
     phrases = pairs.union(longer)
     counts = frequent.select("key", "f").union(phrases.select("key", "f"))
     best = scored(phrases, counts).join(not_contained(phrases), "key", "left_semi")
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = spelled(best, frequent).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= first)
+    named = spelled(best, frequent).withColumn("_salt", F.pmod(F.xxhash64("key"), F.lit(shuffle_partitions(spark))))
+    order = F.desc("score"), F.desc("a"), F.asc("phrase")
+
+    def best_of(rows: DataFrame, *group: str) -> DataFrame:
+        return rows.withColumn("rank", F.row_number().over(Window.partitionBy(*group).orderBy(*order))).filter(F.col("rank") <= first)
+
+    # A language's phrases are ranked in many parts first, so that the last ranking sees ``first`` of each.
+    ranked = best_of(best_of(named, "lang", "_salt"), "lang")
     numbers = [F.col(c).cast("long").alias(c) for c in ("a", "l", "r", "n", "score")]
     return ranked.drop("n").join(totals, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", *numbers)
