@@ -11,7 +11,7 @@ import logging
 
 from pyspark.sql import SparkSession
 
-from tillwright.functions.measures import APPROXIMATE, EXACT
+from tillwright.functions.measures import DISTINCT_MODES
 from tillwright.schema import EVENT_TIME_FORMAT, HIGH_VALUE_THRESHOLD, TRIGGER_INTERVAL
 from tillwright.session import configure
 from tillwright.sinks.tables import ConnectorStore, FileStore
@@ -43,7 +43,12 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--checkpoint", required=True)
     parser.add_argument("--stream-id", default="transactions")
     parser.add_argument("--interval", default=TRIGGER_INTERVAL)
-    parser.add_argument("--distinct", choices=[APPROXIMATE, EXACT], default=APPROXIMATE)
+    parser.add_argument(
+        "--distinct", type=_pair, action="append", default=[], help=f"table=mode of distinct counts: {', '.join(DISTINCT_MODES)}"
+    )
+    parser.add_argument("--rollups-every", type=int, help="bring daily and dashboard tables up to date after so many batches")
+    parser.add_argument("--ledger", action="store_true", help="store what each batch has read of its source")
+    parser.add_argument("--damaged", action="store_true", help="keep the text of damaged records among the rejected rows")
     parser.add_argument("--threshold", type=float, default=HIGH_VALUE_THRESHOLD)
     parser.add_argument("--drop-repeats-within", help="for example '1 hour'; off by default")
     parser.add_argument("--tables", help="root folder of the result tables")
@@ -74,7 +79,9 @@ def main(arguments: list[str] | None = None) -> None:
             options.max_offsets_per_trigger,
             dict(options.source_option),
         )
-    on_batch = BatchTables(store, options.stream_id, options.distinct, options.threshold)
+    on_batch = BatchTables(
+        store, options.stream_id, dict(options.distinct), options.threshold, rollups_every=options.rollups_every
+    )
     query = job.start(
         raw,
         on_batch,
@@ -83,6 +90,8 @@ def main(arguments: list[str] | None = None) -> None:
         event_time_format=options.event_time_format,
         drop_repeats_within=options.drop_repeats_within,
         name=options.stream_id,
+        damaged=options.damaged,
+        ledger=options.ledger,
     )
     job.wait(query)
 

@@ -9,6 +9,10 @@ from tillwright.schema import EVENT_TIME_FORMAT, SUCCESS
 
 APPROXIMATE = "approx"
 EXACT = "exact"
+BOUNDED = "bounded"
+DISTINCT_MODES = (APPROXIMATE, EXACT, BOUNDED)
+# A group's values up to here are counted exactly in the bounded mode.
+BOUNDED_VALUES_LOG2 = 12
 
 
 def status_is(status: str) -> Column:
@@ -46,7 +50,8 @@ def half_up(number: Column, places: int) -> Column:
 
 
 def cents(amount: Column) -> Column:
-    return half_up(amount, 2)
+    """To the cent, half away from zero, for what no sum of doubles has made noisy."""
+    return F.round(amount, 2)
 
 
 # Money is added up in decimals, which do not depend on the order of tasks and hold cents at any size
@@ -95,12 +100,27 @@ def distinct_values(column: str, mode: str) -> Column:
     ``approx`` is a HyperLogLog++ estimate (5 % standard error): no shuffle of the values.
     ``exact`` shuffles the distinct (group, value) pairs, spread by value, so a hot group does
     not end up in one task.
+    ``bounded`` keeps a group's values as hashes up to 4,096 of them, which counts them exactly, and is a
+    sketch beyond (1.6 % standard error). What it shuffles grows with a group's values, up to that
+    bound: 16 bytes for a group with one value, where ``approx`` takes some 400.
     """
     if mode == APPROXIMATE:
         return F.approx_count_distinct(column)
     if mode == EXACT:
         return F.count_distinct(column)
-    raise ValueError(f"distinct mode must be 'approx' or 'exact', not {mode!r}")
+    if mode == BOUNDED:
+        return F.coalesce(F.theta_sketch_estimate(value_sketch(column)), F.lit(0).cast("long"))
+    raise ValueError(f"distinct mode must be one of {', '.join(DISTINCT_MODES)}, not {mode!r}")
+
+
+def value_sketch(column: str) -> Column:
+    """A mergeable set of a column's values: their hashes, or a sample of these beyond the bound."""
+    return F.theta_sketch_agg(column, BOUNDED_VALUES_LOG2)
+
+
+def merged_count(sketches: str) -> Column:
+    """The number of different values in several ``value_sketch``."""
+    return F.theta_sketch_estimate(F.theta_union_agg(sketches, BOUNDED_VALUES_LOG2))
 
 
 def parsed_time(text: str, pattern: str = EVENT_TIME_FORMAT) -> Column:

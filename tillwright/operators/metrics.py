@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tillwright.functions.measures import (
     APPROXIMATE,
+    BOUNDED,
     cents,
     distinct_values,
     exact_sum,
@@ -37,22 +38,26 @@ def transaction_metrics(
     A status outside the four buckets counts in the total only. ``extra`` aggregates ride along in
     the same pass.
     """
-    value = F.col("transaction_value")
-    totals = tx.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("total_transactions"),
-        F.count_if(status_is(SUCCESS)).alias("successful_transactions"),
-        F.count_if(status_is(FAILED)).alias("failed_transactions"),
-        F.count_if(status_is(PENDING)).alias("pending_transactions"),
-        F.count_if(status_is_unknown()).alias("unknown_status"),
-        money_sum(settled_value()).alias("total_revenue"),
-        money_avg(value).alias("avg_transaction_value"),
-        cents(F.max(value)).alias("max_transaction_value"),
-        cents(F.min(value)).alias("min_transaction_value"),
-        *extra,
-    )
+    totals = tx.groupBy(*keys).agg(*[column.alias(name) for name, column in total_columns().items()], *extra)
     return totals.withColumn("success_rate_percentage", success_rate())
 
 
+def total_columns() -> dict[str, Column]:
+    """The aggregates of ``transaction_metrics``, which a stream can also observe on its way."""
+    value = F.col("transaction_value")
+    return {
+        "total_transactions": F.count(F.lit(1)),
+        "successful_transactions": F.count_if(status_is(SUCCESS)),
+        "failed_transactions": F.count_if(status_is(FAILED)),
+        "pending_transactions": F.count_if(status_is(PENDING)),
+        "unknown_status": F.count_if(status_is_unknown()),
+        "total_revenue": money_sum(settled_value()),
+        "avg_transaction_value": money_avg(value),
+        "max_transaction_value": cents(F.max(value)),
+        "min_transaction_value": cents(F.min(value)),
+    }
+
+
 def success_rate():
     """Share of Success rows in percent, 0 for no rows; reads the columns of the metrics."""
     rate = percentage(F.col("successful_transactions"), F.col("total_transactions"))
@@ -101,11 +106,11 @@ def payment_metrics(tx: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     return stats.withColumn("success_rate", percentage(not_failed, F.col("transaction_count")))
 
 
-def geo_metrics(tx: DataFrame, keys: Sequence[str] = (), distinct: str = APPROXIMATE) -> DataFrame:
+def geo_metrics(tx: DataFrame, keys: Sequence[str] = (), distinct: str = BOUNDED) -> DataFrame:
     """Counts, revenue of successful rows and distinct customers per country and city.
 
-    Where nearly every row is its own (country, city), ``exact`` is the cheaper mode: a sketch
-    takes some 400 bytes per group, more than the row itself.
+    Nearly every row may be its own (country, city), so the mode is one whose state is as small as
+    its group.
     """
     return tx.groupBy(*keys, "country", "city").agg(
         F.count(F.lit(1)).alias("transaction_count"),

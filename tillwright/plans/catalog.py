@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwright.fixtures import TX_DOMAINS, event_records, event_tx, tx, tx_records
-from tillwright.functions.measures import APPROXIMATE, EXACT
-from tillwright.operators import keyed, logs, metrics, quality
+from tillwright.functions.measures import APPROXIMATE, BOUNDED, EXACT
+from tillwright.operators import audit, keyed, logs, metrics, quality
 from tillwright.plans import daily, dashboard, replay
 from tillwright.schema import LITERAL_EVENT_TIME_FORMAT, RECORD_FIELDS, TABLES
 from tillwright.session import configure, scratch_folder
@@ -46,8 +46,8 @@ def parse_json(spark, sf_dir):
     return parsed.select(*[F.col(f"data.{name}").alias(name) for name in RECORD_FIELDS])
 
 
-def parse_json_irregular(spark, sf_dir):
-    """Every record damaged in one of five ways, by its quantity; no row is lost."""
+def _irregular(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every record damaged in one of five ways, by its quantity; the fourth is harmless."""
     records = tx_records(spark, sf_dir)
     whole = F.to_json(F.struct(*RECORD_FIELDS), {"ignoreNullFields": "false"})
     mistyped = F.to_json(
@@ -67,8 +67,17 @@ def parse_json_irregular(spark, sf_dir):
         .when(F.col("quantity") == 4, F.regexp_replace(whole, r"\}$", ',"test":true}'))
         .otherwise(F.lit(""))
     )
-    flat = decode.flatten_payload(decode.parse_json(records.select(text.alias("json"))))
-    return flat.select("transaction_id", "category", "quantity", "price", "timestamp")
+    return records.select(text.alias("json"))
+
+
+def parse_json_irregular(spark, sf_dir):
+    """No row is lost, whatever its damage."""
+    return decode.flatten_payload(decode.parse_json(_irregular(spark, sf_dir)))
+
+
+def damaged_records(spark, sf_dir):
+    """The same rows beside the text of the damaged ones."""
+    return decode.flatten_payload(decode.parse_json(_irregular(spark, sf_dir), damaged=True))
 
 
 def flatten_payload(spark, sf_dir):
@@ -218,24 +227,79 @@ def daily_unique_error(spark, sf_dir):
     return exact.join(merged, "date").select("date", "unique_customers", near)
 
 
-def rejected_tables(spark, sf_dir):
-    """Null keys of every keyed table, as the store keeps them."""
-    store = FileStore(scratch_folder(spark, "rejects"))
-    batches = replay.with_batch(tx(spark, sf_dir), 365 * DAY_SECONDS)
-    stamp = F.lit(None).cast("timestamp").alias("batch_time")
-    for table, rows in {
+# Fields that rejected rows of the six keyed tables show.
+_REJECTED_FIELDS = (
+    "order_count bigint, category_revenue double, avg_order_value double, unique_products bigint, unique_customers bigint, "
+    "transaction_count bigint, successful_revenue double, failed_count bigint, success_rate double, revenue double, "
+    "avg_transaction_value double, transaction_id string, user_id string, product_name string, transaction_value double, "
+    "payment_method string, country string, city string, category string"
+)
+
+
+def _holey(rows: DataFrame) -> DataFrame:
+    """Some products' transactions without a payment method, city or id."""
+    product = F.col("product_id").cast("bigint")
+    gaps = {"payment_method": 103, "city": 107, "transaction_id": 109}
+    return rows.withColumns({name: F.when(product % n != 0, F.col(name)) for name, n in gaps.items()})
+
+
+def _keyed_tables(rows: DataFrame) -> dict[str, DataFrame]:
+    """The keyed tables but the raw one, by year."""
+    batches = replay.with_batch(rows, 365 * DAY_SECONDS)
+    stamps = {name: F.lit(None).cast("timestamp") for name in ("batch_time", "logged_at", "alert_time")}
+    tables = {
         "category_metrics": metrics.category_metrics(batches, replay.BATCH, EXACT),
         "payment_metrics": metrics.payment_metrics(batches, replay.BATCH),
         "geo_metrics": metrics.geo_metrics(batches, replay.BATCH, EXACT),
-    }.items():
-        store.replace_batches(rows.select("*", stamp), table)
-    store.append(tx(spark, sf_dir), "transactions")
-    payload = F.from_json("payload", "order_count bigint")
-    return store.read(spark, "rejected_rows").select(
-        "batch_id", "table_name", "reason", "copy", payload["order_count"].alias("order_count")
+        "failed_transactions": logs.failed_log(batches, replay.BATCH),
+        "high_value_alerts": logs.high_value_alerts(batches, replay.BATCH),
+    }
+    return {name: made.withColumns(stamps).select(*TABLES[name].columns) for name, made in tables.items()}
+
+
+def _shown_rejects(rejected: DataFrame) -> DataFrame:
+    payload = F.from_json("payload", _REJECTED_FIELDS).alias("p")
+    return rejected.select("batch_id", "table_name", "reason", "copy", payload).select(
+        "batch_id", "table_name", "reason", "copy", "p.*"
     )
 
 
+def rejected_tables(spark, sf_dir):
+    """Null keys of the six keyed tables, as the store keeps them with their payload."""
+    store = FileStore(scratch_folder(spark, "rejects"))
+    rows = _holey(tx(spark, sf_dir))
+    for table, made in _keyed_tables(rows).items():
+        store.replace_batches(made, table)
+    store.append(rows.withColumn("processed_at", F.lit(None).cast("timestamp")), "transactions")
+    return _shown_rejects(store.read(spark, "rejected_rows"))
+
+
+def rejects_replayed(spark, sf_dir):
+    """Rejects of batches that are done again: the second time without the gaps of early years, the third time whole."""
+    store = FileStore(scratch_folder(spark, "replayed"))
+    rows = tx(spark, sf_dir)
+    early = _holey(rows.withColumn("category", F.lit(None).cast("string")))
+    for made in (early, rows, _holey(rows)):
+        store.replace_batches(_keyed_tables(made)["category_metrics"], "category_metrics")
+    shown = _shown_rejects(store.read(spark, "rejected_rows"))
+    kept = store.read(spark, "category_metrics").groupBy("batch_id").agg(F.count(F.lit(1)).alias("kept_rows"))
+    names = ("order_count", "category_revenue", "avg_order_value", "unique_products", "unique_customers")
+    return shown.select("batch_id", "table_name", "reason", "copy", *names).join(kept, "batch_id")
+
+
+def compacted_batches(spark, sf_dir):
+    """Payment metrics per hour: compacted by day, some batches done again, and compacted once more."""
+    store, table, day = FileStore(scratch_folder(spark, "compacted")), "payment_metrics", 24
+    rows = replay.replay(event_tx(spark, sf_dir), table, 3600)
+    wrong = rows.withColumn("transaction_count", F.lit(-1).cast("bigint"))
+    again = F.col("batch_id") % 7 == 0
+    store.replace_batches(rows.filter(~again).unionByName(wrong.filter(again)), table)
+    store.compact(spark, table, before=LOOKUP_DAY * day, width=day)
+    store.replace_batches(rows.filter(again), table)
+    store.compact(spark, table, before=(LOOKUP_DAY + 5) * day, width=day)
+    return store.read(spark, table)
+
+
 def daily_stored(spark, sf_dir):
     """The daily rollup, stored twice by key and read back without its clock."""
     store = FileStore(scratch_folder(spark, "rollup"))
@@ -245,6 +309,35 @@ def daily_stored(spark, sf_dir):
     return store.read_rollup(spark, "daily_aggregates").drop("created_at")
 
 
+def _arrivals(rows: DataFrame) -> DataFrame:
+    """Events in batches that each hold rows of every day, most of them late."""
+    return rows.withColumn("batch_id", F.col("transaction_id").cast("bigint") % 5)
+
+
+def daily_incremental(spark, sf_dir):
+    """Days out of the states of late batches, one of which was first written half, then again."""
+    store = FileStore(scratch_folder(spark, "state"))
+    rows = _arrivals(event_tx(spark, sf_dir))
+    half = (F.col("batch_id") != 3) | (F.col("quantity") < 3)
+    store.replace_batches(daily.daily_state(rows.filter(half), replay.BATCH), "daily_state")
+    store.replace_batches(daily.daily_state(rows.filter("batch_id = 3"), replay.BATCH), "daily_state")
+    return daily.from_state(store.read(spark, "daily_state"))
+
+
+def offset_gaps(spark, sf_dir):
+    """Lost and doubled offsets of a ledger of hours, some of which are missing or read twice."""
+    place = replay.with_batch(event_tx(spark, sf_dir), 3600).select(
+        "batch_id",
+        F.lit("events").alias("_source"),
+        (F.col("transaction_id").cast("bigint") % 4).cast("int").alias("_partition"),
+        F.call_function("div", F.col("transaction_id").cast("bigint"), F.lit(4)).alias("_offset"),
+    )
+    ledger = audit.read_ledger(place, replay.BATCH)
+    missing, twice = F.col("batch_id") % 11 == 3, F.col("batch_id") % 13 == 5
+    again = ledger.filter(twice).withColumn("batch_id", F.col("batch_id") + 1_000_000)
+    return audit.offset_faults(ledger.filter(~missing).unionByName(again))
+
+
 def dashboard_stored(spark, sf_dir):
     store = FileStore(scratch_folder(spark, "rollup"))
     rows = dashboard.dashboard_metrics(metrics.transaction_metrics(tx(spark, sf_dir)))
@@ -368,6 +461,7 @@ QUERIES: dict[str, Query] = {
     "decode_value": decode_value,
     "parse_json": parse_json,
     "parse_json_irregular": parse_json_irregular,
+    "damaged_records": damaged_records,
     "flatten_payload": flatten_payload,
     "to_json_records": to_json_round_trip,
     "event_time": event_time,
@@ -386,7 +480,7 @@ QUERIES: dict[str, Query] = {
     "category_metrics_approx": _on_tx(metrics.category_metrics),
     "payment_metrics": _on_tx(metrics.payment_metrics),
     "geo_metrics": _on_tx(metrics.geo_metrics, distinct=EXACT),
-    "geo_metrics_approx": _on_tx(metrics.geo_metrics),
+    "geo_metrics_approx": _on_tx(metrics.geo_metrics, distinct=APPROXIMATE),
     "failed_transactions": _on_tx(logs.failed_log),
     "high_value_alerts": _on_tx(logs.high_value_alerts),
     "unknown_status": unknown_status,
@@ -424,7 +518,13 @@ QUERIES: dict[str, Query] = {
     "geo_metrics_error": _within_error(metrics.geo_metrics, ["country", "city"], ["unique_customers"]),
     "daily_aggregates_error": _within_error(daily.daily_aggregates, ["date"], ["unique_customers"]),
     "daily_unique_error": daily_unique_error,
+    "geo_metrics_bounded": _on_tx(metrics.geo_metrics, distinct=BOUNDED),
+    "daily_aggregates_bounded": _on_tx(daily.daily_aggregates, distinct=BOUNDED),
     "rejected_tables": rejected_tables,
+    "rejects_replayed": rejects_replayed,
+    "compacted_batches": compacted_batches,
+    "daily_incremental": daily_incremental,
+    "offset_gaps": offset_gaps,
     "daily_stored": daily_stored,
     "dashboard_stored": dashboard_stored,
     "stream_late_file": stream_late_file,

@@ -3,18 +3,22 @@ counts do not add up."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillwright.functions.measures import (
-    APPROXIMATE,
+    BOUNDED,
     distinct_values,
     exact_sum,
+    merged_count,
     money,
     odd_sum,
     percentage,
     settled_value,
     status_is,
+    value_sketch,
 )
 from tillwright.schema import FAILED, SUCCESS
 
@@ -30,9 +34,15 @@ def _date_text(rows: DataFrame) -> DataFrame:
     return rows.select(F.col("day").cast("string").alias("date"), *others)
 
 
-def _day_grain(tx: DataFrame) -> DataFrame:
-    """Additive sums per (day, category, country): the one pass over the rows."""
-    return tx.groupBy(_day(), "category", "country").agg(
+def daily_state(tx: DataFrame, keys: Sequence[str] = (), users: bool = True) -> DataFrame:
+    """What rows add to their days, per (day, category, country): the one pass over the rows.
+
+    States of several batches, one after another or stored with ``keys=("batch_id",)``, merge into the days of
+    all their rows in ``from_state``. So a late batch corrects its days without the rows of others, and
+    a batch that is done again replaces its state.
+    """
+    sketch = [value_sketch("user_id").alias("users")] if users else []
+    return tx.groupBy(*keys, _day(), "category", "country").agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(status_is(SUCCESS)).alias("n_success"),
         F.count_if(status_is(FAILED)).alias("n_failed"),
@@ -41,6 +51,7 @@ def _day_grain(tx: DataFrame) -> DataFrame:
         odd_sum(F.col("transaction_value")).alias("odd_value"),
         exact_sum(settled_value()).alias("settled"),
         odd_sum(settled_value()).alias("odd_settled"),
+        *sketch,
     )
 
 
@@ -53,23 +64,36 @@ def _top(name: str, revenue: str, level: Column) -> Column:
     return F.min(ranked)["name"]
 
 
-def daily_aggregates(tx: DataFrame, distinct: str = APPROXIMATE) -> DataFrame:
+def daily_aggregates(tx: DataFrame, distinct: str = BOUNDED) -> DataFrame:
     """One row per day with totals, rates, distinct customers, top category and top country.
 
-    The rows shrink to (day, category, country) before the first shuffle; the three levels needed
-    above that are grouping sets over this small table. Customers are counted in an aggregate of
-    their own, which reads two columns: distinct counts do not add up from a finer grain, and
-    sketches of a finer grain outweigh a second scan.
+    The rows shrink to (day, category, country) before the first shuffle, and all else is made of that
+    small table. In the other modes than ``bounded``, customers are counted in an aggregate of their
+    own, which reads two columns: their counts do not add up from a finer grain.
     """
+    if distinct == BOUNDED:
+        return from_state(daily_state(tx))
+    days = _days(daily_state(tx, users=False))
+    users = tx.groupBy(_day().alias("user_day")).agg(
+        distinct_values("user_id", distinct).alias("unique_customers")
+    )
+    # Rows without an event time form a day of their own, as null.
+    return _date_text(days.join(users, F.col("day").eqNullSafe(F.col("user_day"))).drop("user_day"))
+
+
+def from_state(state: DataFrame) -> DataFrame:
+    """``daily_aggregates`` of all rows whose ``daily_state`` is given, in one state or many."""
+    return _date_text(_days(state, [merged_count("users").alias("users")]).withColumnRenamed("users", "unique_customers"))
+
+
+def _days(state: DataFrame, merged: Sequence[Column] = ()) -> DataFrame:
+    """One row per day; the three levels that it needs are grouping sets over the state."""
     day, category, country = F.col("day"), F.col("category"), F.col("country")
-    levels = (
-        _day_grain(tx)
-        .groupingSets([[day], [day, category], [day, country]], day, category, country)
-        .agg(
-            *[F.sum(n).alias(n) for n in _SUMS],
-            F.grouping("category").alias("no_category"),
-            F.grouping("country").alias("no_country"),
-        )
+    levels = state.groupingSets([[day], [day, category], [day, country]], day, category, country).agg(
+        *[F.sum(n).alias(n) for n in _SUMS],
+        *merged,
+        F.grouping("category").alias("no_category"),
+        F.grouping("country").alias("no_country"),
     )
     whole = (F.col("no_category") == 1) & (F.col("no_country") == 1)
     by_category, by_country = F.col("no_category") == 0, F.col("no_country") == 0
@@ -77,7 +101,7 @@ def daily_aggregates(tx: DataFrame, distinct: str = APPROXIMATE) -> DataFrame:
     def total(name: str) -> Column:
         return F.max(F.when(whole, F.col(name)))
 
-    days = levels.groupBy("day").agg(
+    return levels.groupBy("day").agg(
         total("n").alias("total_transactions"),
         money(total("settled"), total("odd_settled")).alias("total_revenue"),
         money(total("value"), total("odd_value"), total("n_value")).alias("avg_transaction_value"),
@@ -86,12 +110,14 @@ def daily_aggregates(tx: DataFrame, distinct: str = APPROXIMATE) -> DataFrame:
         percentage(total("n_success"), total("n")).alias("success_rate"),
         _top("category", "value", by_category).alias("top_category"),
         _top("country", "settled", by_country).alias("top_country"),
+        *[total("users").alias("users")] * bool(merged),
     )
-    users = tx.groupBy(_day().alias("user_day")).agg(
-        distinct_values("user_id", distinct).alias("unique_customers")
-    )
-    # Rows without an event time form a day of their own, as null.
-    return _date_text(days.join(users, F.col("day").eqNullSafe(F.col("user_day"))).drop("user_day"))
+
+
+def days_of(state: DataFrame, touched: DataFrame) -> DataFrame:
+    """The state of the days that occur in ``touched`` (column day), null day included."""
+    days = touched.select(F.col("day").alias("_day")).distinct()
+    return state.join(days, F.col("day").eqNullSafe(F.col("_day")), "left_semi")
 
 
 def top_category(tx: DataFrame) -> DataFrame:

@@ -243,31 +243,112 @@ def _counted(conditions: list[tuple[str, str]], value: str) -> str:
     return f"WITH {_TX.strip()},\nm AS (SELECT {counts} FROM tx)\n{rows}"
 
 
+# Some products' transactions without a payment method, city or id; see the catalog.
+_HOLEY = """
+holey AS (
+  SELECT * REPLACE (
+    CASE WHEN CAST(product_id AS BIGINT) % 103 <> 0 THEN payment_method END AS payment_method,
+    CASE WHEN CAST(product_id AS BIGINT) % 107 <> 0 THEN city END AS city,
+    CASE WHEN CAST(product_id AS BIGINT) % 109 <> 0 THEN transaction_id END AS transaction_id)
+  FROM tx
+)"""
+_REJECTED_FIELDS = [
+    ("order_count", "BIGINT"), ("category_revenue", "DOUBLE"), ("avg_order_value", "DOUBLE"), ("unique_products", "BIGINT"),
+    ("unique_customers", "BIGINT"), ("transaction_count", "BIGINT"), ("successful_revenue", "DOUBLE"), ("failed_count", "BIGINT"),
+    ("success_rate", "DOUBLE"), ("revenue", "DOUBLE"), ("avg_transaction_value", "DOUBLE"), ("transaction_id", "VARCHAR"),
+    ("user_id", "VARCHAR"), ("product_name", "VARCHAR"), ("transaction_value", "DOUBLE"), ("payment_method", "VARCHAR"),
+    ("country", "VARCHAR"), ("city", "VARCHAR"), ("category", "VARCHAR"),
+]
+
+
 def _rejected_tables() -> str:
-    """Rows of each keyed table whose key has a null, per year; only category is null in the fixture."""
-    return f"""WITH {_TX.strip()},{_batches(365 * 86_400, "tx")}
+    """Rows of each keyed table whose key has a null, per year, with their payload; equal ones are numbered."""
+    year = "batch_id"
+    city_reason = "'null key: city'"
+    parts = {
+        "category_metrics": (year, "'null key: category'", f"category, {_CATEGORY} FROM batches WHERE category IS NULL GROUP BY batch_id, category"),
+        "payment_metrics": (year, "'null key: payment_method'", f"payment_method, {_PAYMENT} FROM batches WHERE payment_method IS NULL GROUP BY batch_id, payment_method"),
+        "geo_metrics": (year, city_reason, f"country, city, {_GEO} FROM batches WHERE city IS NULL GROUP BY batch_id, country, city"),
+        "failed_transactions": (year, "'null key: transaction_id'", f"{_FAILED} FROM batches WHERE failed AND transaction_id IS NULL"),
+        "high_value_alerts": (year, "'null key: transaction_id'", f"{_ALERTS} FROM batches WHERE transaction_value > 1000 AND transaction_id IS NULL"),
+        "transactions": ("CAST(NULL AS BIGINT) AS batch_id", "'null key: transaction_id'", f"{_RECORD}, transaction_value FROM batches WHERE transaction_id IS NULL"),
+    }
+    shown = ", ".join(f'CAST("{name}" AS {kind}) AS "{name}"' for name, kind in _REJECTED_FIELDS)
+    # Rows are told apart by all that the store keeps of them.
+    every = "\nUNION ALL BY NAME ".join(
+        f"SELECT *, row_number() OVER (PARTITION BY r) AS \"copy\" FROM (SELECT {batch}, '{table}' AS table_name, {reason} AS reason, {body}) r"
+        for table, (batch, reason, body) in parts.items()
+    )
+    return f"""WITH {_TX.strip()},{_HOLEY},{_batches(365 * 86_400, "holey")},
+every AS ({every})
+SELECT batch_id, table_name, reason, "copy", {shown} FROM every"""
+
+
+def _rejects_replayed() -> str:
+    return f"""WITH {_TX.strip()},{_batches(365 * 86_400, "tx")},
+made AS (SELECT batch_id, category, {_CATEGORY} FROM batches GROUP BY batch_id, category),
+kept AS (SELECT batch_id, count(*) AS kept_rows FROM made WHERE category IS NOT NULL GROUP BY batch_id)
 SELECT batch_id, 'category_metrics' AS table_name, 'null key: category' AS reason, 1::BIGINT AS "copy",
-       count(*) AS order_count
-FROM batches WHERE category IS NULL GROUP BY batch_id"""
+       order_count, category_revenue, avg_order_value, unique_products, unique_customers, kept_rows
+FROM made JOIN kept USING (batch_id) WHERE category IS NULL"""
+
+
+def _offset_gaps() -> str:
+    return f"""WITH {_EVENTS.strip()},{_batches(3600)},
+ledger AS (
+  SELECT batch_id, CAST(CAST(transaction_id AS BIGINT) % 4 AS INTEGER) AS "partition",
+         min(CAST(transaction_id AS BIGINT) // 4) AS low, max(CAST(transaction_id AS BIGINT) // 4) + 1 AS high
+  FROM batches GROUP BY 1, 2),
+read AS (
+  SELECT * FROM ledger WHERE batch_id % 11 <> 3
+  UNION ALL SELECT * REPLACE (batch_id + 1000000 AS batch_id) FROM ledger WHERE batch_id % 13 = 5),
+ranges AS (
+  SELECT *, max(high) OVER (PARTITION BY "partition" ORDER BY low, high, batch_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS behind
+  FROM read)
+SELECT 'events' AS source, "partition", CASE WHEN low > behind THEN 'lost' ELSE 'doubled' END AS fault,
+       CASE WHEN low > behind THEN behind ELSE low END AS from_offset,
+       CASE WHEN low > behind THEN low ELSE least(high, behind) END AS to_offset, batch_id
+FROM ranges WHERE low > behind OR (behind IS NOT NULL AND low < least(high, behind))"""
+
+
+def _irregular(damaged: bool) -> str:
+    """What is left of each damaged record; the texts are made as the catalog makes them."""
+    left = {"transaction_id": (2, 3, 4), "price": (3, 4), "quantity": (4,)}
+    fields = []
+    for name in RECORD_FIELDS:
+        field = f"CASE WHEN quantity IN {(*left.get(name, (4,)), 0)} THEN \"{name}\" END"
+        if name == "category":
+            field = "CASE quantity WHEN 2 THEN CAST(age AS VARCHAR) WHEN 4 THEN category END"
+        fields.append(f'{field} AS "{name}"')
+    whole = f"(SELECT CAST(to_json(r) AS VARCHAR) FROM (SELECT {_RECORD}) r)"
+    text = f"""
+        CASE quantity WHEN 1 THEN left({whole}, length({whole}) - 8)
+             WHEN 2 THEN '{{"transaction_id":"' || transaction_id || '","price":"x","quantity":"' || quantity || '","category":' || age || '}}'
+             WHEN 3 THEN CAST(json_object('transaction_id', transaction_id, 'quantity', quantity + 0.5e0, 'price', price) AS VARCHAR)
+             WHEN 5 THEN '' END AS damaged_record"""
+    return _tx(f"SELECT {', '.join(fields)}{', ' + text if damaged else ''} FROM tx_records")
 
 
 def oracle_sql() -> dict[str, str]:
     sql = _oracle_sql()
     # The stored rollups are the computed ones.
-    return sql | {"daily_stored": sql["daily_aggregates"], "dashboard_stored": sql["dashboard_metrics"]}
+    same = {
+        "daily_stored": "daily_aggregates",
+        "daily_aggregates_bounded": "daily_aggregates",
+        "dashboard_stored": "dashboard_metrics",
+        "geo_metrics_bounded": "geo_metrics",
+    }
+    # Days of the events, whatever batches they came in.
+    of_events = sql["daily_aggregates"].replace(_TX.strip(), f"{_EVENTS.strip()},\ntx AS (SELECT * FROM event_tx)")
+    return sql | {name: sql[twin] for name, twin in same.items()} | {"daily_incremental": of_events}
 
 
 def _oracle_sql() -> dict[str, str]:
     return {
         "decode_value": _tx(f"SELECT CAST(to_json(r) AS VARCHAR) AS json FROM (SELECT {_RECORD} FROM tx_records) r"),
         "parse_json": _tx(f"SELECT {_RECORD} FROM tx_records"),
-        "parse_json_irregular": _tx("""
-            SELECT CASE WHEN quantity IN (2, 3, 4) THEN transaction_id END AS transaction_id,
-                   CASE quantity WHEN 2 THEN CAST(age AS VARCHAR) WHEN 4 THEN category END AS category,
-                   CASE WHEN quantity = 4 THEN quantity END AS quantity,
-                   CASE WHEN quantity IN (3, 4) THEN price END AS price,
-                   CASE WHEN quantity = 4 THEN "timestamp" END AS "timestamp"
-            FROM tx_records"""),
+        "parse_json_irregular": _irregular(damaged=False),
+        "damaged_records": _irregular(damaged=True),
         "flatten_payload": _tx(f"SELECT {_RECORD} FROM tx_records"),
         "to_json_records": _tx(f"SELECT {_RECORD}, event_time, transaction_value FROM tx"),
         "event_time": _tx('SELECT transaction_id, "timestamp", event_time FROM tx'),
@@ -397,11 +478,12 @@ m AS (
 SELECT {_DAY} AS "date", count(DISTINCT user_id) AS unique_customers, TRUE AS within_error
 FROM event_tx GROUP BY 1""",
         "rejected_tables": _rejected_tables(),
+        "rejects_replayed": _rejects_replayed(),
+        "compacted_batches": _interval(_PAYMENT, "payment_method", 3600),
+        "offset_gaps": _offset_gaps(),
         "stream_late_file": f"{_STREAM}\nSELECT count(*) AS transactions FROM stream",
         "stream_repeats": f"""{_STREAM}
 SELECT transaction_id, event_time, transaction_value FROM stream""",
-        "daily_stored": "",
-        "dashboard_stored": "",
         "stream_ingest": f"""{_STREAM}
 SELECT {_RECORD}, event_time, transaction_value, TRUE AS is_stamped, batch_id FROM stream""",
         "stream_transaction_metrics": _stream(_STATS),

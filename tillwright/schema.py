@@ -197,6 +197,37 @@ TABLES = {
         },
         ("metric_type",),
     ),
+    # What a batch adds to each day: sums that add up, and a mergeable set of the users.
+    "daily_state": Table(
+        {
+            "batch_id": "bigint",
+            "day": "date",
+            "category": "string",
+            "country": "string",
+            "n": "bigint",
+            "n_success": "bigint",
+            "n_failed": "bigint",
+            "n_value": "bigint",
+            "value": "decimal(38,8)",
+            "odd_value": "double",
+            "settled": "decimal(38,8)",
+            "odd_settled": "double",
+            "users": "binary",
+        },
+        ("batch_id", "day", "category", "country"),
+    ),
+    # What a batch has read of its source: offsets of a topic's partition, or the records of a file.
+    "read_ledger": Table(
+        {
+            "batch_id": "bigint",
+            "source": "string",
+            "partition": "int",
+            "from_offset": "bigint",
+            "to_offset": "bigint",
+            "records": "bigint",
+        },
+        ("batch_id", "source", "partition"),
+    ),
     # The statuses seen in a batch without any success.
     # ``status_key`` is the status, or a stand-in where it is null, which a key cannot be.
     "zero_success_statuses": Table(

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tillwright.schema import EVENT_TIME_FORMAT, TRIGGER_INTERVAL
 from tillwright.session import configure
-from tillwright.sources.decode import decode_transactions
+from tillwright.sources.decode import decode_transactions, with_place
 
 
 def drop_repeats(tx: DataFrame, within: str) -> DataFrame:
@@ -34,15 +34,20 @@ def start(
     event_time_format: str = EVENT_TIME_FORMAT,
     drop_repeats_within: str | None = None,
     name: str | None = None,
+    damaged: bool = False,
+    ledger: bool = False,
 ) -> StreamingQuery:
     """Decode a raw stream and run ``on_batch`` on every micro-batch.
 
     ``checkpoint`` holds offsets and batch ids and must outlive the job; it has no default, since a
     lost checkpoint restarts batch ids at 0. ``available_now`` handles what is there and ends. The state
     store is the session's choice; with ``drop_repeats_within`` over a long span, choose one on disk.
+    ``damaged`` keeps the text of damaged records among the rejects, ``ledger`` what each batch has read.
     """
     configure(raw.sparkSession)
-    tx = decode_transactions(raw, event_time_format)
+    if ledger and drop_repeats_within:
+        raise ValueError("a ledger of what was read needs all records, repeats too")
+    tx = decode_transactions(with_place(raw) if ledger else raw, event_time_format, damaged)
     if drop_repeats_within:
         tx = drop_repeats(tx, drop_repeats_within)
     trigger = {"availableNow": True} if available_now else {"processingTime": interval}
