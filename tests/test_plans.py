@@ -69,6 +69,7 @@ def test_metrics_read_their_columns_only(stored):
         "payment_method",
         "transaction_status",
         "transaction_value",
+        "_reason",  # null in all rows but rejected ones
     }
 
 
