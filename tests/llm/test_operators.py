@@ -1,10 +1,13 @@
 """Each operator on hand-made rows: nulls, empty and very long texts, ties, repeats, empty tables, clashing columns."""
 
 import math
+import os
 import random
 import re
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -158,20 +161,60 @@ def test_a_text_linked_to_one_member_of_a_crowd(spark):
 
 
 def test_all_pairs_of_a_region_meet(spark):
-    """A region of 64 in tasks of one row each: every pair is a candidate, in every order."""
+    """A region of 64 in tasks of one row each: every pair of different labels is a candidate."""
     signature = bytes(range(256))
-    classes = spark.createDataFrame([(i, 100, signature) for i in range(64)], "node long, n_shingles long, signature binary").repartition(64)
-    crowded = near_dedup.crowded_regions(classes)
+    rows = [(i, 100, signature, i // 2) for i in range(64)]
+    classes = spark.createDataFrame(rows, "node long, n_shingles long, signature binary, label long").repartition(64)
+    crowded = near_dedup.crowded_regions(classes, 0)
     assert crowded.isEmpty()
-    met = near_dedup.candidate_pairs(classes, crowded).collect()
-    assert {(r.a, r.b) for r in met} == {(a, b) for a in range(64) for b in range(a + 1, 64)}
-    assert {r.votes for r in met} == {near_dedup.ORDERS}
+    met = [(r.a, r.b) for r in near_dedup.region_pairs(classes, crowded, 0).collect()]
+    assert sorted(met) == [(a, b) for a in range(64) for b in range(a + 1, 64) if a // 2 != b // 2]
+    one_label = classes.withColumn("label", F.lit(1).cast("long"))
+    assert near_dedup.region_pairs(one_label, crowded, 0).isEmpty() and near_dedup.nearest_pairs(one_label, 0).isEmpty()
+    # Of each class one pair at most, with another label.
+    nearest = [(r.a, r.b) for r in near_dedup.nearest_pairs(classes, 0).collect()]
+    assert {i for pair in nearest for i in pair} == set(range(64)) and len(nearest) <= 64
+    assert all(a // 2 != b // 2 for a, b in nearest)
+
+
+def brute_met(rows, depth, near, width):
+    """Pairs as ``_met`` should give them: rows (tree, key, node, label) in order, all alike in size and sketch."""
+    found = set()
+    for i, (tree, key, _, label) in enumerate(rows):
+        same = [j for j, r in enumerate(rows) if r[0] == tree and r[1][:depth] == key[:depth]]
+        others = [j for j in same if rows[j][3] != label]
+        if near and others:
+            sides = [max((j for j in others if j < i), default=None), min((j for j in others if j > i), default=None)]
+            common = lambda j: next((k for k in range(12) if rows[j][1][k] != key[k]), 12)  # noqa: B023, E731
+            longest = max(common(j) for j in sides if j is not None)
+            found.add((i, next(j for j in sides if j is not None and common(j) == longest)))
+        found |= {(i, j) for j in others if 0 < j - i <= width}
+    return found
+
+
+@pytest.mark.parametrize("size", [1, 3, 7, 1000])
+def test_regions_are_read_in_batches_of_any_size(size):
+    rng = random.Random(13)
+    for near, width in ((True, 0), (False, 63), (True, 3)):
+        rows = sorted((rng.randrange(2), tuple([rng.randrange(2) for _ in range(3)] + [5] + [rng.randrange(3) for _ in range(8)]), n, rng.randrange(3)) for n in range(120))
+        columns = [
+            pa.array([r[0] for r in rows], pa.int32()), pa.array([np.array(r[1], ">u2").tobytes() for r in rows], pa.binary()),
+            pa.array([r[2] for r in rows]), pa.array([100] * 120), pa.array([r[3] for r in rows]), pa.array([7] * 120), pa.array([9] * 120),
+        ]
+        batch = pa.RecordBatch.from_arrays(columns, ["tree", "key", "node", "n", "label", "sketch_0", "sketch_1"])
+        met = near_dedup._met((batch.slice(at, size) for at in range(0, 120, size)), 4, near, width)
+        place = {r[2]: i for i, r in enumerate(rows)}
+        got = {(place[a], place[b]) for m in met for a, b in zip(m.column(0).to_pylist(), m.column(1).to_pylist())}
+        wanted = brute_met(rows, 4, near, width)
+        # A row may be shown a nearer neighbour only once that one is read, and keeps the earlier one too.
+        assert wanted <= got and (size < 1000 or got == wanted)
 
 
 def test_sketches_turn_down_fewer_than_the_orders_miss():
     agree, n = near_dedup.SKETCH_AGREE, near_dedup.HASHES
     turned_down = sum(math.comb(n, k) * 0.9**k * 0.1 ** (n - k) for k in range(agree))
-    assert turned_down < 0.1 * (1 - 0.8**near_dedup.DEPTH) ** near_dedup.ORDERS
+    depth, orders = near_dedup.LEVELS[0]
+    assert turned_down < 0.1 * (1 - 0.8**depth) ** orders
 
 
 def test_many_families_around_one_boilerplate(spark):
@@ -191,18 +234,39 @@ def test_many_families_around_one_boilerplate(spark):
     assert got == components_of(sets) and len(set(got.values())) == 300
 
 
-def test_blocks_meet_all_blocks(spark, monkeypatch):
-    """Outsiders and members in many blocks: every link of an outsider to its main component is found."""
-    monkeypatch.setattr(near_dedup, "BLOCK_BYTES", 2000)
-    base = [f"w{i}" for i in range(60)]
-    texts = [" ".join([*base[:k], f"x{k}", *base[k + 1 :]]) for k in range(40)]
-    docs = spark.createDataFrame([*enumerate(texts), (40, None), (None, texts[0])], "doc_id long, text string")
-    alone = spark.createDataFrame([(k, 10) for k in (0, 1, 2, 40)], "node long, main long")
-    labels = spark.createDataFrame([(k, 10 if k >= 10 else k) for k in range(40)], "node long, component long")
-    got = {(r.a, r.b) for r in near_dedup.links_to_main(docs, alone, labels, 2).collect()}
-    sets = {i: {tuple(p) for p in zip(t.split(), t.split()[1:])} for i, t in enumerate(texts)}
-    assert got == {(a, b) for a in (0, 1, 2) for b in range(10, 40) if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])}
-    assert len(got) > 20
+def test_links_in_a_mixed_crowd_are_found(spark):
+    """Hundreds of chains around one boilerplate, all near the bound: the share of links found, against all pairs."""
+    rng = random.Random(31)
+    texts = []
+    for family in range(400):
+        words = [f"f{family}_{k}" if k % 9 == 0 else f"w{k}" for k in range(180)]
+        texts.append(" ".join(words))
+        for _ in range(2):
+            other = list(words)
+            for k in rng.sample(range(1, 180), 7):
+                other[k] = f"y{rng.random()}"
+            texts.append(" ".join(other))
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(frame, 2).collect()}
+    sets = [{tuple(p) for p in zip(t.split(), t.split()[1:])} for t in texts]
+    links = [(a, b) for a in range(len(sets)) for b in range(a // 3 * 3, a) if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])]
+    across = [(a, b) for a in range(0, 60) for b in range(0, a // 3 * 3) if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])]
+    assert len(links) > 600 and not across
+    found = sum(got[a] == got[b] for a, b in links)
+    assert found >= 0.99 * len(links)
+    assert all(a // 3 == b // 3 for a, b in got.items())
+
+
+def test_near_duplicates_leave_no_tables_behind(spark, monkeypatch):
+    """What is stored on the way is deleted, but for what the result reads."""
+    from tillwright.llm import common
+
+    written = []
+    real = common.scratch_folder
+    monkeypatch.setattr(common, "scratch_folder", lambda spark, label: written.append(real(spark, label)) or written[-1])
+    result = near_dedup.near_duplicates(odd_docs(spark), 2)
+    left = [path for path in written if os.path.exists(path)]
+    assert len(written) > 10 and len(left) == 2 and result.count() == 14
 
 
 def test_components_of_a_chain(spark):
