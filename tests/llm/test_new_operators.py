@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__
 from tests.parity import database, differences
-from tillwright.llm import chat_format, clustering, phrases
+from tillwright.llm import chat_format, clustering, mixing, packing, phrases
 
 SF = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, source string, phrase string, word string"
@@ -349,3 +349,79 @@ def test_chats_shuffle_once(spark):
     frame = spark.createDataFrame([(1, 0, "user", "x", "f", "p")], TURNS)
     plan = chat_format.digest(chat_format.format_chats(frame))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1 and "Python" not in plan and "Arrow" not in plan
+
+
+# --- packing -----------------------------------------------------------------
+
+
+@given(st.text(" \n\t\r\u00a0\u2003\x1cab1'\u00e9\u20ac:", max_size=40))
+@settings(max_examples=1500, deadline=None)
+def test_ids_are_the_tokenizer_s(text):
+    import public_tokenizers
+
+    path = str(public_tokenizers.path("byte_bpe_50k.json"))
+    encode = packing._Encoder(path)
+    assert np.frombuffer(encode(text), "<u4").tolist() == encode.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("text,n", [("Prix\u00a0: 5\u00a0\u20ac\n\n\nOui", 11), ("a\u00a0b\u00a0c\n\n\nd", 8), ("a b\nc", 4), ("x" * 300_000 + " y", None)])
+def test_ids_of_odd_white_space(text, n):
+    import public_tokenizers
+
+    encode = packing._Encoder(str(public_tokenizers.path("byte_bpe_50k.json")))
+    got = np.frombuffer(encode(text), "<u4").tolist()
+    assert got == encode.tokenizer.encode(text, add_special_tokens=False).ids and (n is None or len(got) == n)
+
+
+def fewest_bins(items, capacity):
+    best = len(items)
+
+    def go(i, bins):
+        nonlocal best
+        if len(bins) >= best:
+            return
+        if i == len(items):
+            best = len(bins)
+            return
+        for room in {b for b in bins if b >= items[i]}:
+            rest = list(bins)
+            rest.remove(room)
+            go(i + 1, [*rest, room - items[i]])
+        go(i + 1, [*bins, capacity - items[i]])
+
+    go(0, [])
+    return best
+
+
+@given(st.sampled_from([10, 20, 50, 100]).flatmap(lambda c: st.tuples(st.just(c), st.lists(st.integers(max(1, c // 8), c), min_size=1, max_size=10))))
+@settings(max_examples=300, deadline=None)
+def test_few_pieces_are_packed_as_well_as_can_be(case):
+    capacity, items = case
+    histogram = Counter(items)
+    plan = packing.plan_packing(dict(histogram), capacity)
+    used = Counter()
+    for filling in plan:
+        assert sum(k * n for k, n in filling.counts) <= capacity
+        for k, n in filling.counts:
+            used[k] += n * filling.repeats
+    assert used == histogram
+    assert packing.sequences(plan) == fewest_bins(sorted(items, reverse=True), capacity)
+
+
+def test_completion_is_nearer_to_the_bound_than_best_fit():
+    rng = np.random.default_rng(1)
+    of_best_fit = of_plan = 0
+    for n in (60, 200, 350, 500):
+        histogram = dict(Counter(rng.integers(300, 1100, n).tolist()))
+        plan = packing.plan_packing(histogram)
+        of_best_fit += packing.gap(histogram, packing._best_fit(dict(histogram), 2048))
+        of_plan += packing.gap(histogram, plan)
+    assert 0 <= of_plan < of_best_fit
+
+
+def test_mixed_texts_do_not_carry_their_row_s_key_in_each_part(spark):
+    """What is shuffled a part is its source, place and range."""
+    docs = spark.createDataFrame([(i, "w " * 500, "s", "en") for i in range(20)], "doc_id long, text string, source string, lang string")
+    plan = mixing.mix_documents(docs)._jdf.queryExecution().executedPlan().toString()
+    parts = [line for line in plan.splitlines() if "Generate explode" in line and "_block" in line]
+    assert parts and all("_sha" not in line and "doc_id" not in line for line in parts)

@@ -200,17 +200,25 @@ def mix_documents(docs: DataFrame, block_words: int = BLOCK_WORDS, seed: int = S
     weights ask. ``n_chars``, if there, is counted anew. Each row has draws of its own, also where rows
     share an id, a text or have no id.
     """
-    sha = F.sha2(text_or_empty().cast("binary"), 256)
+    # 16 bytes tell texts apart.
+    sha = F.unhex(F.substring(F.sha2(text_or_empty().cast("binary"), 256), 1, 32))
     keyed = docs.withColumns({"_source": F.col("source").cast("string"), "_sha": sha})
-    placed, totals = laid_out(keyed, block_words, ("_sha",))
-    rows, placed = _with_turns(keyed, placed.filter("size > 0").withColumn("_source", F.col("source")))
-    taken = mixed_parts(placed, totals, block_words, seed).filter("times > 0")
-    draws = taken.groupBy(*[F.col(c).alias(f"{c}_d") for c in _ROW]).agg(
-        F.array_sort(F.collect_list(F.struct("from", "to", "times"))).alias("_parts"),
+    stored_places, totals = laid_out(keyed, block_words, ("_sha",))
+    rows, placed = _with_turns(keyed, stored_places.filter("size > 0").withColumn("_source", F.col("source")))
+    # Parts are many, so they carry no more than their row's place, which no other row of the source has; what tells
+    # rows apart comes back once a row.
+    taken = mixed_parts(placed.select("source", "start", "size"), totals, block_words, seed).filter("times > 0")
+    part = F.struct(*[F.col(c).cast("int").alias(c) for c in ("from", "to", "times")])
+    of_place = taken.groupBy("source", "start").agg(
+        F.array_sort(F.collect_list(part)).alias("_parts"),
         F.sum(F.col("to") - F.col("from")).alias("_covered"),
         F.max("times").alias("_most"),
         F.max("size").alias("_size"),
     )
+    of_place = of_place.withColumnsRenamed({"source": "_s", "start": "_at"})
+    here = F.col("source").eqNullSafe(F.col("_s")) & (F.col("start") == F.col("_at"))
+    draws = placed.select("source", "start", *_ROW).join(of_place.hint("merge"), here)
+    draws = draws.select(*[F.col(c).alias(f"{c}_d") for c in _ROW], "_parts", "_covered", "_most", "_size")
     same = F.lit(True)
     for c in _ROW:
         same = same & F.col(c).eqNullSafe(F.col(f"{c}_d"))

@@ -2,9 +2,12 @@
 
 Documents are tokenized and cut into pieces of at most ``capacity`` tokens. How full a sequence gets
 depends on the pieces' lengths alone, and there are at most ``capacity`` of those. So the bin packing
-is solved on the histogram of lengths, whose size does not grow with the data: bin completion
-enumerates undominated fillings around the largest length left, prunes by waste, and keeps best-fit
-as the incumbent. Pieces then take their places by their number within their length, in parallel.
+is solved on the histogram of lengths, whose size does not grow with the data. Best fit gives the
+incumbent. Where that is above the lower bound, bin completion looks for a packing with one sequence less, again and
+again: it fills sequences around the largest length left, tries undominated fillings only, and turns
+back where they waste more than is left to waste. The search has a budget (SEARCH_STEPS); when that is
+used up, the incumbent stays, and ``gap`` tells how far it may be from the best. Pieces then take their places by their
+number within their length, in parallel.
 """
 
 from __future__ import annotations
@@ -12,7 +15,7 @@ from __future__ import annotations
 import json
 import zlib
 from array import array
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import cache
@@ -31,8 +34,8 @@ END_ID = 0
 BYTE_LEVEL_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 # Words whose ids a worker keeps; more are computed anew.
 CACHED_WORDS = 400_000
-# Fillings tried around one largest piece before the best so far is taken.
-SEARCH_NODES = 2_000
+# Of the search for a better packing: lengths tried in all, and in the fillings of one sequence; fillings tried of each.
+SEARCH_STEPS, FILLING_STEPS, FILLINGS = 2_000_000, 1_000, 8
 
 
 # --- tokens ------------------------------------------------------------------
@@ -95,7 +98,8 @@ class _Encoder:
 
     A byte-level tokenizer of this kind cuts at white space before it merges, so where every white
     space is one space or newline between two words, the ids of a text are the ids of its words, each
-    with the space before it. Any other text goes to the tokenizer whole.
+    with the space before it. Any other text goes to the tokenizer whole: one with other white space, or with
+    two of these next to each other or at an end.
     """
 
     def __init__(self, path: str):
@@ -105,7 +109,10 @@ class _Encoder:
         self.newline = array("I", encode("\n")).tobytes()
 
     def __call__(self, text: str) -> bytes:
-        if text and "<|" not in text and len(text.split()) == text.count(" ") + text.count("\n") + 1:
+        words = text.split()
+        separators = text.count(" ") + text.count("\n")
+        # The lengths agree if no other white space is there, the numbers if each separator is alone.
+        if words and "<|" not in text and len(words) == separators + 1 and sum(map(len, words)) + separators == len(text):
             first, spaced, lines = self.first, self.spaced.__getitem__, []
             for line in text.split("\n"):
                 word, *words = line.split(" ")
@@ -185,58 +192,123 @@ def _best_fit(left: dict[int, int], capacity: int) -> list[Filling]:
     return plan
 
 
-def _complete(lengths: list[int], left: dict[int, int], first: int, capacity: int, waste: int) -> tuple[tuple[int, int], ...]:
-    """The filling around ``first`` that wastes least, longest pieces first.
-
-    Depth first over the lengths, longest first: of fillings of equal waste the one with the longest
-    pieces is met first, and the others, which it dominates, are not looked at. ``waste`` is what is
-    allowed anyway, so that the search ends once it is reached. Branches that cannot do better than
-    the best so far are cut by the shortest length left and by a table of reachable sums.
-    """
-    best: list = [capacity, ()]
-    nodes = [0]
-
-    def go(limit: int, room: int, chosen: list[tuple[int, int]]) -> bool:
-        nodes[0] += 1
-        if room < best[0]:
-            best[0], best[1] = room, tuple(chosen)
-        if best[0] <= waste or nodes[0] > SEARCH_NODES:
+class _Search:
+    """Bin completion on a histogram: a packing into so many sequences, by depth-first branch and bound."""
+
+    def __init__(self, histogram: dict[int, int], capacity: int, steps: int):
+        self.histogram, self.capacity, self.steps = histogram, capacity, steps
+        # Bit s of sums[length]: whether s is a sum of lengths up to this one, in any number. More sums than
+        # the pieces left can make, so what it rules out cannot be.
+        whole = (1 << capacity + 1) - 1
+        self.sums, reach = {0: 1}, 1
+        for length in sorted(histogram):
+            step = length
+            while step <= capacity and (more := (reach | reach << step) & whole) != reach:
+                reach, step = more, step * 2
+            self.sums[length] = reach
+
+    def _fillings(self, left: dict[int, int], least_waste: int, most_waste: int) -> list[tuple[int, tuple[tuple[int, int], ...]]]:
+        """(waste, filling as (length, number)) around the largest length left with a waste in bounds, best first.
+
+        A filling is left out if another dominates it: one that has
+        a further piece in its waste, or a longer piece in place of one or two of its own, is never worse.
+        """
+        first = max(length for length, n in left.items() if n)
+        own = dict(left)
+        own[first] -= 1
+        free = sum(1 << length for length, n in own.items() if n)  # bit by length
+        found, tried = [], 0
+        stack: list[tuple[int, int, tuple[tuple[int, int], ...]]] = [(first, self.capacity - first, ())]
+        while stack and tried < FILLING_STEPS:
+            limit, room, chosen = stack.pop()
+            tried += 1
+            if least_waste <= room <= most_waste and not self._dominated(own, free, room, chosen):
+                found.append((room, chosen))
+            length = (free & (1 << min(limit, room) + 1) - 1).bit_length() - 1
+            if length <= 0:
+                continue
+            low = max(0, room - most_waste)
+            # No sum of these lengths closes the gap so far that the waste is allowed.
+            if not self.sums[length] >> low & (1 << room - low + 1) - 1:
+                continue
+            # Pushed so that most of the longest comes first.
+            for n in range(min(room // length, own[length]) + 1):
+                stack.append((length - 1, room - n * length, (*chosen, (length, n)) if n else chosen))
+        self.steps -= tried + len(left) // 8  # a look at all lengths costs too
+        # Of equal waste the one with the longest pieces: short ones are easier to place later.
+        found.sort(key=lambda f: (f[0], [-length for length, n in f[1] for _ in range(n)]))
+        out = []
+        for waste, chosen in found[:FILLINGS]:
+            counts = {first: 1}
+            for length, n in chosen:
+                counts[length] = counts.get(length, 0) + n
+            out.append((waste, tuple(sorted(counts.items(), reverse=True))))
+        return out
+
+    @staticmethod
+    def _dominated(own: dict[int, int], free: int, waste: int, chosen: tuple[tuple[int, int], ...]) -> bool:
+        for length, n in chosen:
+            if n == own[length]:
+                free &= ~(1 << length)
+
+        def fits(low: int, high: int) -> bool:
+            """Whether a piece of a length from low to high is free."""
+            return low <= high and bool(free >> low & (1 << high - low + 1) - 1)
+
+        if fits(1, waste):
             return True
-        at = bisect_right(lengths, room, 0, limit)
-        while at:
-            at -= 1
-            length = lengths[at]
-            free = left[length] - (length == first)
-            most = min(room // length, free)
-            # Nothing shorter than this can close the gap if even all of it leaves more waste.
-            for n in range(most, 0, -1):
-                if go(at, room - n * length, [*chosen, (length, n)]):
-                    return True
-        return False
-
-    go(len(lengths), capacity - first, [])
-    counts: dict[int, int] = {first: 1}
-    for length, n in best[1]:
-        counts[length] = counts.get(length, 0) + n
-    return tuple(sorted(counts.items(), reverse=True))
-
-
-def _bin_completion(histogram: dict[int, int], capacity: int) -> list[Filling]:
-    left = {k: n for k, n in histogram.items() if n}
-    lengths = sorted(left)
-    total = sum(k * n for k, n in left.items())
-    spare = -(-total // capacity) * capacity - total  # what the last bins may waste in all
-    plan = []
-    while lengths:
-        counts = _complete(lengths, left, lengths[-1], capacity, 0)
-        repeats = min(left[length] // n for length, n in counts)
-        plan.append(Filling(repeats, counts))
-        for length, n in counts:
-            left[length] -= repeats * n
-            if not left[length]:
-                lengths.remove(length)
-        spare -= repeats * (capacity - sum(k * n for k, n in counts))
-    return plan
+        others = [length for length, n in chosen for _ in range(min(n, 2))]
+        if any(fits(x + 1, x + waste) for x in set(others)):
+            return True
+        return any(fits(both, both + waste) for both in {x + y for i, x in enumerate(others) for y in others[i + 1 :]})
+
+    def packed_into(self, sequences: int) -> list[Filling] | None:
+        """A plan of at most so many sequences; None if there is none, or none was found within the steps."""
+        left = dict(self.histogram)
+        spare = sequences * self.capacity - sum(length * n for length, n in left.items())
+        if spare < 0:
+            return None
+        path: list[tuple[int, int, tuple[tuple[int, int], ...]]] = []
+        seen: set[int] = set()
+
+        def choices(spare: int) -> Iterator[tuple[int, int, tuple[tuple[int, int], ...]]]:
+            low, high, largest = 0, 0, min(spare, self.capacity)
+            while low <= largest:
+                # Small wastes first, where the sums rule out most; larger ones only when these lead nowhere.
+                for waste, filling in self._fillings(left, low, min(high, largest)):
+                    most = min(left[i] // n for i, n in filling)
+                    if waste:
+                        most = min(most, spare // waste)
+                    # As often as it goes, or once, after which it may be chosen again or not.
+                    for repeats in (most, 1)[: 1 + (most > 1)]:
+                        yield repeats, waste, filling
+                low, high = high + 1, 2 * high + 1
+
+        stack = [choices(spare)]
+        while stack and self.steps > 0:
+            choice = next(stack[-1], None)
+            if choice is None:
+                stack.pop()
+                if path:
+                    repeats, waste, filling = path.pop()
+                    spare += repeats * waste
+                    for i, n in filling:
+                        left[i] += repeats * n
+                continue
+            repeats, waste, filling = choice
+            path.append(choice)
+            spare -= repeats * waste
+            for i, n in filling:
+                left[i] -= repeats * n
+            if not any(left.values()):
+                return [Filling(repeats, filling) for repeats, _, filling in path]
+            state = hash((spare, *left.values()))
+            if state in seen:
+                stack.append(iter(()))  # turned back at once
+                continue
+            seen.add(state)
+            stack.append(choices(spare))
+        return None
 
 
 def sequences(plan: list[Filling]) -> int:
@@ -257,13 +329,21 @@ def lower_bound(histogram: dict[int, int], capacity: int) -> int:
     return best
 
 
-def plan_packing(histogram: dict[int, int], capacity: int = CAPACITY) -> list[Filling]:
-    """The better of best fit (the incumbent) and bin completion; completion is skipped at the bound."""
-    incumbent = _best_fit(dict(histogram), capacity)
-    if sequences(incumbent) == lower_bound(histogram, capacity):
-        return incumbent
-    completed = _bin_completion(dict(histogram), capacity)
-    return min(completed, incumbent, key=sequences)
+def plan_packing(histogram: dict[int, int], capacity: int = CAPACITY, steps: int = SEARCH_STEPS) -> list[Filling]:
+    """Best fit, improved by bin completion until the lower bound is met, nothing better exists, or the steps are used up."""
+    histogram = {length: n for length, n in histogram.items() if n}
+    plan = _best_fit(dict(histogram), capacity)
+    least = lower_bound(histogram, capacity)
+    if sequences(plan) > least:
+        search = _Search(histogram, capacity, steps)
+        while sequences(plan) > least and (better := search.packed_into(sequences(plan) - 1)):
+            plan = better
+    return plan
+
+
+def gap(histogram: dict[int, int], plan: list[Filling], capacity: int = CAPACITY) -> int:
+    """By how many sequences a plan is above the lower bound; a better one need not exist."""
+    return sequences(plan) - lower_bound(histogram, capacity)
 
 
 # --- places ------------------------------------------------------------------
