@@ -29,7 +29,7 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW_TAGS = frozenset("script style textarea title xmp iframe noembed noframes".split())
 SKIPPED_TAGS = frozenset(
-    "aside audio button canvas datalist dialog embed footer form head header iframe input label legend menu nav noembed "
+    "aside audio button canvas datalist dialog embed footer head header iframe input label legend menu nav noembed "
     "noframes noscript object option script search select style svg template textarea title video xmp".split()
 )
 SKIPPED_ROLES = frozenset(
@@ -44,6 +44,12 @@ SKIPPED_WORDS = frozenset(
     "comment comments commentlist disqus respond replies reply discussion "
     "share sharing social tags hidden".split()
 )
+# Words that say nothing about an element beside one of the above, and words after which no text is the article's.
+LAYOUT_WORDS = frozenset("area bar block body bottom box center container content group inner item items layout left list main middle outer panel right row section top wrap wrapper".split())
+NEVER_TEXT = frozenset(
+    "ad ads adv advert advertisement advertising adsense banner sponsor sponsored sponsors comment comments commentlist disqus "
+    "respond replies reply cookie cookies consent gdpr newsletter subscribe subscription signup login paywall hidden".split()
+)
 # Elements that hold the article even if a class of theirs has one of the words above.
 KEPT_TAGS = frozenset("html body article main".split())
 # Opening one of these ends an open element of the named ones, as their end tags may be left out.
@@ -74,6 +80,7 @@ _ATTRIBUTE = re.compile(r"(?<![^\s\"'/])(class|id|role|hidden|aria-hidden|style|
 _PARTS = re.compile(r"[A-Za-z]+")
 _SPACE_RUN = re.compile(r"\s+")
 _WORDS = re.compile(r"\w+")
+_SHOUT = re.compile(r"!!|!\s*\Z|[0-9]\s?%|[$\u20ac\u00a3]\s?[0-9]|[0-9]\s?[$\u20ac\u00a3]|\b[A-Z]{4,}\b.*\b[A-Z]{4,}\b", re.DOTALL)
 
 
 @dataclass
@@ -85,29 +92,41 @@ class Block:
     text: str
     linked: int
     label: int = field(default=OPEN)
+    doubtful: tuple[int, ...] = ()  # the open elements that may be none of the article, by number
+
+
+KEPT, DOUBTFUL, LEFT_OUT = 0, 1, 2
 
 
-def _left_out(tag: str, attributes: str, in_article: bool) -> bool:
+def _standing(tag: str, attributes: str, in_article: bool) -> int:
+    """Whether an element is left out, or to be judged by how much of the page's text it holds.
+
+    That is for forms, as some pages are one form, and for elements of an article whose names have other words too.
+    """
     if tag in SKIPPED_TAGS:
         # An article's own header holds its headline.
-        return not (tag == "header" and in_article)
+        return KEPT if tag == "header" and in_article else LEFT_OUT
+    standing = DOUBTFUL if tag == "form" else KEPT
     if not attributes or tag in KEPT_TAGS:
-        return False
+        return standing
     for match in _ATTRIBUTE.finditer(attributes):
         name, value = match[1].lower(), (match[2] or "").strip("\"'").lower()
         if name == "hidden" or (name == "aria-hidden" and value == "true"):
-            return True
-        if name == "role" and value in SKIPPED_ROLES:
-            return True
+            return LEFT_OUT
+        if name == "role" and value in SKIPPED_ROLES and not (tag == "form" and value == "form"):
+            return LEFT_OUT
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-            return True
+            return LEFT_OUT
         if name in ("class", "id"):
             # Names such as comment-list or adBanner consist of words; all-inclusive wrappers are kept.
             for word in re.split(r"\s+", (match[2] or "").strip("\"'")):
                 parts = [p.lower() for p in re.findall(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])", word)]
                 if parts and not {"no", "has", "with", "without"} & set(parts) and SKIPPED_WORDS & set(parts):
-                    return True
-    return False
+                    others = set(parts) - SKIPPED_WORDS - LAYOUT_WORDS
+                    if not in_article or not others or NEVER_TEXT & set(parts):
+                        return LEFT_OUT
+                    standing = DOUBTFUL
+    return standing
 
 
 def blocks(page: str) -> list[Block]:
@@ -116,6 +135,8 @@ def blocks(page: str) -> list[Block]:
     stack: list[str] = []
     skipped_at = 0  # height of the stack below the outermost skipped element, from 1; 0: none
     links = articles = linked = 0
+    doubts: list[tuple[int, int]] = []  # (height of the stack, number) of open doubtful elements
+    numbers = 0
     parts: list[str] = []
     block_tag = "body"
 
@@ -124,7 +145,7 @@ def blocks(page: str) -> list[Block]:
         if parts:
             text = _SPACE_RUN.sub(" ", html.unescape("".join(parts))).strip()
             if text:
-                found.append(Block(block_tag, articles > 0, text, linked))
+                found.append(Block(block_tag, articles > 0, text, linked, doubtful=tuple(n for _, n in doubts)))
             parts.clear()
         linked = 0
 
@@ -141,6 +162,8 @@ def blocks(page: str) -> list[Block]:
             links -= tag == "a"
             articles -= tag in ("article", "main")
         del stack[height:]
+        while doubts and doubts[-1][0] > height:
+            doubts.pop()
         if skipped_at > height:
             skipped_at = 0
 
@@ -193,8 +216,13 @@ def blocks(page: str) -> list[Block]:
             close(stack.index("head"))
         stack.append(tag)
         links += tag == "a"
-        if not skipped_at and _left_out(tag, match[3] or "", articles > 0):
-            skipped_at = len(stack)
+        if not skipped_at:
+            standing = _standing(tag, match[3] or "", articles > 0)
+            if standing == LEFT_OUT:
+                skipped_at = len(stack)
+            elif standing == DOUBTFUL:
+                numbers += 1
+                doubts.append((len(stack), numbers))
         articles += tag in ("article", "main")
         if tag in RAW_TAGS:
             end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>?", re.IGNORECASE).search(page, at)
@@ -217,7 +245,8 @@ def _first_label(block: Block, telling: bool) -> int:
     """
     size = len(block.text)
     if not block.in_article and block.linked > MAX_LINK_DENSITY * size:
-        return BAD
+        # A paragraph can be one long link, and is then like its neighbours.
+        return OPEN if block.tag == "p" and size >= SHORT_CHARS and _density(block) >= HIGH_STOP_WORDS else BAD
     if size < SHORT_CHARS or block.tag in HEADINGS:
         return OPEN
     if block.in_article and (not telling or block.tag in PLAIN_TAGS):
@@ -227,13 +256,14 @@ def _first_label(block: Block, telling: bool) -> int:
         return GOOD
     if density >= LOW_STOP_WORDS or size >= LONG_CHARS:
         return OPEN
-    # A short sentence of an article may have no stop word; an advert also has most words in capitals.
-    return OPEN if block.in_article and not _capitals(block) else BAD
+    # A paragraph of an article may have no stop word, as a list of names; an advert in it shouts too.
+    return OPEN if block.in_article and not _shouts(block) else BAD
 
 
-def _capitals(block: Block) -> bool:
+def _shouts(block: Block) -> bool:
     words = [w for w in _WORDS.findall(block.text) if w[0].isalpha()]
-    return 2 * sum(w[0].isupper() for w in words) >= len(words)
+    capitals = 2 * sum(w[0].isupper() for w in words) >= len(words)
+    return capitals and bool(_SHOUT.search(block.text))
 
 
 def label(found: list[Block]) -> None:
@@ -270,12 +300,29 @@ def label(found: list[Block]) -> None:
         block.label = decided
 
 
+def _without_doubtful(found: list[Block]) -> list[Block]:
+    """The blocks but for those in a doubtful element that holds no more than half of the accepted text."""
+    if not any(block.doubtful for block in found):
+        return found
+    label(found)
+    total, held = 0, {}
+    for block in found:
+        if block.label == GOOD:
+            total += len(block.text)
+            for number in block.doubtful:
+                held[number] = held.get(number, 0) + len(block.text)
+    kept = [block for block in found if all(2 * held.get(number, 0) > total for number in block.doubtful)]
+    for block in kept:
+        block.label = OPEN
+    return kept
+
+
 def main_text(page: str) -> str:
     """Blocks of the main text, white space made even, joined by an empty line.
 
     Blocks outside articles are left out only where articles hold most of what the rules accept.
     """
-    found = blocks(page)
+    found = _without_doubtful(blocks(page))
     label(found)
     accepted = [block for block in found if block.label == GOOD]
     inside = sum(len(block.text) for block in accepted if block.in_article)

@@ -150,7 +150,7 @@ def with_features(found: DataFrame) -> DataFrame:
 
 def weak_label(found: DataFrame) -> DataFrame:
     """Labelled findings where none are given: 1 for published formats and values assigned to a
-    secret's name, 0 for numbers, dictionary words and what its neighbours call something else; others have none.
+    secret's name, 0 for numbers, dictionary words and what its neighbours call something else; null for others.
     """
     c, before = F.col("candidate"), F.col("before")
     # Of values that are no long run, ordinary words after a name may be prose; those with a digit are not.
@@ -158,7 +158,7 @@ def weak_label(found: DataFrame) -> DataFrame:
     secret = c.rlike(KNOWN_FORMATS) | (before.rlike(SECRET_WORDS) & before.rlike(r"[=:]\s*[\"']?\z") & telling & ~c.rlike(NO_VALUE))
     plain = c.rlike(r"\A[0-9_+/-]+=*\z") | before.rlike(PLAIN_WORDS) | (F.col("covered") > 0.5) | c.rlike(NO_VALUE)
     label = F.when(secret & ~before.rlike(PLAIN_WORDS), 1.0).when(plain, 0.0)
-    return found.withColumn("label", label).filter("label IS NOT NULL")
+    return found.withColumn("label", label)
 
 
 def train(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> PipelineModel | None:
@@ -183,8 +183,13 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None, path_column: str =
     format or neighbours tell are used. Where only one class is known, every candidate gets the score
     of that class, and one half where none is. The secret itself is not shown, only its SHA-256.
     """
-    found = stored(with_features(candidates(docs, path_column)), "candidates")
-    known = weak_label(found) if labelled is None else labelled
+    # What is stored on the way holds hashes and features only, no secret and no text around it.
+    found = weak_label(with_features(candidates(docs, path_column)))
+    found = found.withColumns(
+        {"secret_sha256": F.sha2(F.col("candidate").cast("binary"), 256), "length": F.length("candidate").cast("long")}
+    )
+    found = stored(found.select("doc_id", "start", "end", "secret_sha256", F.col("length").alias("n_chars"), *FEATURES, "label"), "candidates")
+    known = (found if labelled is None else labelled).filter("label IS NOT NULL")
     model = train(known)
     if model is None:
         prior = known.agg(F.avg("label")).first()[0]
@@ -195,8 +200,8 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None, path_column: str =
         "doc_id",
         "start",
         "end",
-        F.sha2(F.col("candidate").cast("binary"), 256).alias("secret_sha256"),
-        F.length("candidate").cast("long").alias("length"),
+        "secret_sha256",
+        F.col("n_chars").alias("length"),
         F.round("score", 9).alias("score"),
         (F.col("score") >= THRESHOLD).alias("is_secret"),
     )

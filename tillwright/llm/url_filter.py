@@ -2,12 +2,14 @@
 
 A rule is a host pattern and a path prefix, or a free regular expression, each with a literal token.
 Rules are indexed by their rarest token. The tokens of a URL fetch candidate rules from the index, and
-only those run their regular expression. The index is a literal of the plan, hashed into buckets, so a
-URL is judged within its row: no join and no shuffle, whatever the hosts' skew.
+only those run their regular expression. An index of bounded size (INDEX_BYTES) is one literal of the plan, hashed into
+buckets, so a URL is judged within its row: no join and no shuffle, whatever the hosts' skew. A larger one is a
+table that the tokens of different URLs are joined with.
 """
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -16,8 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ALLOW, BLOCK = "allow", "block"
-# Rules travel with the plan; more than this many are refused, none is dropped.
-MAX_RULES = 20_000
+# An index up to this size travels with the plan; a larger one is a table.
+INDEX_BYTES = 16 << 20
 _CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _TOKEN = r"[a-z0-9]+"
 
@@ -26,7 +28,7 @@ _TOKEN = r"[a-z0-9]+"
 class Rule:
     """``host`` fits itself and its subdomains, ``path`` is a prefix; or ``pattern`` is searched for.
 
-    ``pattern`` is a regular expression over host + path, and must contain one of its ``literals``.
+    ``pattern`` is a regular expression over host, ``#`` and path, and must contain one of its ``literals``.
     """
 
     verdict: str
@@ -50,14 +52,19 @@ class Rule:
 
     @property
     def regex(self) -> str:
-        """A Java regular expression over host, a space, and path."""
+        """A Java regular expression over host, ``#``, which neither can hold, and path."""
         if self.pattern is not None:
             return self.pattern
-        return rf"(?s)\A(?:[^ ]*\.)?\Q{self.host}\E \Q{self.path}\E"
+        return rf"(?s)\A(?:[^#]*\.)?{_quoted(self.host)}#{_quoted(self.path)}"
+
+
+def _quoted(text: str) -> str:
+    """The text as a part of a Java regular expression."""
+    return r"\Q" + text.replace(r"\E", r"\E\\E\Q") + r"\E"
 
 
 def _word_rule(word: str) -> Rule:
-    return Rule(BLOCK, pattern=rf"(?s)\A[^ ]*(?<![a-z0-9]){word}(?![a-z0-9])[^ ]* ", literals=(word,))
+    return Rule(BLOCK, pattern=rf"(?s)\A[^#]*(?<![a-z0-9]){word}(?![a-z0-9])[^#]*#", literals=(word,))
 
 
 # Verdict of the method where no listed rule fits: hosts with one of these words are blocked.
@@ -80,29 +87,29 @@ def _tokens(host: Column, path: Column) -> Column:
 
 def token_counts(urls: DataFrame, rules: Sequence[Rule]) -> dict[str, int]:
     """How many URLs have each token that occurs in a rule; at most one row per rule token comes back."""
-    wanted = sorted({token for rule in rules for token in rule.tokens})
+    wanted = sorted({(token,) for rule in rules for token in rule.tokens})
     host, path = host_and_path(F.col("url"))
-    each = urls.select(F.explode(F.array_intersect(_tokens(host, path), F.array(*map(F.lit, wanted)))).alias("token"))
-    return {row["token"]: row["n"] for row in each.groupBy("token").agg(F.count("*").alias("n")).collect()}
-
-
-def _index(rules: Sequence[Rule], counts: dict[str, int], buckets: int) -> Column:
-    """Array of buckets; a bucket holds (token, rank, verdict, name, listed, regex) of its rules."""
-    filled: list[list[Column]] = [[] for _ in range(buckets)]
-    for rule in rules:
-        token = min(rule.tokens, key=lambda t: (counts.get(t, 0), t))
-        filled[_bucket(token, buckets)].append(
-            F.struct(
-                F.lit(rule.pattern is None).alias("listed"),
-                F.lit(len(rule.name)).alias("length"),
-                F.lit(rule.name).alias("name"),
-                F.lit(rule.verdict).alias("verdict"),
-                F.lit(token).alias("token"),
-                F.lit(rule.regex).alias("regex"),
-            )
-        )
-    kind = "array<struct<listed:boolean,length:int,name:string,verdict:string,token:string,regex:string>>"
-    return F.array(*[F.array(*b).cast(kind) if b else F.from_json(F.lit("[]"), kind) for b in filled])
+    each = urls.select(F.explode(_tokens(host, path)).alias("token"))
+    known = each.join(urls.sparkSession.createDataFrame(wanted, "token string"), "token", "left_semi")
+    return {row["token"]: row["n"] for row in known.groupBy("token").agg(F.count("*").alias("n")).collect()}
+
+
+_ENTRY = "listed boolean, length int, name string, verdict string, token string, regex string"
+
+
+def _entries(rules: Sequence[Rule], counts: dict[str, int]) -> list[tuple]:
+    """Each rule under its rarest token."""
+    rarest = [min(rule.tokens, key=lambda t: (counts.get(t, 0), t)) for rule in rules]
+    return [(r.pattern is None, len(r.name), r.name, r.verdict, token, r.regex) for r, token in zip(rules, rarest, strict=True)]
+
+
+def _index(entries: Sequence[tuple], buckets: int) -> str:
+    """JSON of the buckets, each an array of entries."""
+    names = [field.split(" ")[0] for field in _ENTRY.split(", ")]
+    filled: list[list[dict]] = [[] for _ in range(buckets)]
+    for entry in entries:
+        filled[_bucket(entry[4], buckets)].append(dict(zip(names, entry, strict=True)))
+    return json.dumps(filled)
 
 
 def _bucket(token: str, buckets: int) -> int:
@@ -125,8 +132,6 @@ def judge(urls: DataFrame, rules: Sequence[Rule], method_rules: Sequence[Rule] =
     hosts fit no rule. Rows are judged one by one, so repeated rows and null ids are no special case.
     """
     every = [*rules, *method_rules]
-    if len(every) > MAX_RULES:
-        raise ValueError(f"{len(every)} rules; the plan carries at most {MAX_RULES}")
     if any(not rule.tokens for rule in every):
         raise ValueError("a rule needs a literal token")
     host, path = host_and_path(F.col("url"))
@@ -134,24 +139,44 @@ def judge(urls: DataFrame, rules: Sequence[Rule], method_rules: Sequence[Rule] =
     split = urls.select(*kept, host.alias("host"), path.alias("path"))
     if not every:
         return split.withColumns({"rule": F.lit(None).cast("string"), "verdict": F.lit(ALLOW)})
-    counts = token_counts(urls, every)
+    entries = _entries(every, token_counts(urls, every))
     buckets = 1 << max(0, len(every) - 1).bit_length()
-    index = _index(every, counts, buckets)
-    subject = F.concat(F.col("host"), F.lit(" "), F.col("path"))
-    candidates = F.flatten(
-        F.transform(
-            _tokens(F.col("host"), F.col("path")),
-            lambda token: F.filter(
-                F.element_at(index, _bucket_of(token, buckets) + 1), lambda r: r["token"] == token
-            ),
-        )
-    )
-    fits = F.filter(candidates, lambda r: F.rlike(subject, r["regex"]))
-    best = F.array_max(fits)
-    judged = split.withColumn("_best", best)
+    index = _index(entries, buckets)
+    judged = split.withColumn("_best", _best_in_row(index, buckets)) if len(index) <= INDEX_BYTES else _best_by_join(split, entries)
     listed = F.coalesce(F.col("_best.listed"), F.lit(False))
     return judged.select(
         *[F.col(c) for c in split.columns],
         F.when(listed, F.col("_best.name")).alias("rule"),
         F.coalesce(F.col("_best.verdict"), F.lit(ALLOW)).alias("verdict"),
     )
+
+
+def _subject() -> Column:
+    return F.concat(F.col("host"), F.lit("#"), F.col("path"))
+
+
+def _best_in_row(index: str, buckets: int) -> Column:
+    """The greatest entry that fits a row's host and path, out of the index as a literal, which is parsed once."""
+    held = F.from_json(F.lit(index), f"array<array<struct<{_ENTRY}>>>")
+    candidates = F.flatten(
+        F.transform(
+            _tokens(F.col("host"), F.col("path")),
+            lambda token: F.filter(F.element_at(held, _bucket_of(token, buckets) + 1), lambda r: r["token"] == token),
+        )
+    )
+    subject = _subject()
+    return F.array_max(F.filter(candidates, lambda r: F.rlike(subject, r["regex"])))
+
+
+def _best_by_join(split: DataFrame, entries: Sequence[tuple]) -> DataFrame:
+    """The same by joins: tokens of the different (host, path) with the index, and back. Hot hosts are one row each before,
+    and Spark splits the URLs of a hot token, as each entry is on the other side.
+    """
+    spark = split.sparkSession
+    index = spark.createDataFrame(list(entries), _ENTRY)
+    different = split.select("host", "path").distinct()
+    tokens = different.select("*", F.explode(_tokens(F.col("host"), F.col("path"))).alias("token"))
+    fits = tokens.join(index, "token").filter(F.rlike(_subject(), F.col("regex")))
+    names = [field.split(" ")[0] for field in _ENTRY.split(", ")]
+    best = fits.groupBy("host", "path").agg(F.max(F.struct(*names)).alias("_best"))
+    return split.join(best, ["host", "path"], "left").select(*split.columns, "_best")
