@@ -167,10 +167,10 @@ def test_all_pairs_of_a_region_meet(spark):
     classes = spark.createDataFrame(rows, "node long, n_shingles long, signature binary, label long").repartition(64)
     crowded = near_dedup.crowded_regions(classes, 0)
     assert crowded.isEmpty()
-    met = [(r.a, r.b) for r in near_dedup.region_pairs(classes, crowded, 0).collect()]
+    met = [(r.a, r.b) for r in near_dedup.region_pairs(near_dedup.with_crowds(classes, crowded, 0), 0).collect()]
     assert sorted(met) == [(a, b) for a in range(64) for b in range(a + 1, 64) if a // 2 != b // 2]
     one_label = classes.withColumn("label", F.lit(1).cast("long"))
-    assert near_dedup.region_pairs(one_label, crowded, 0).isEmpty() and near_dedup.nearest_pairs(one_label, 0).isEmpty()
+    assert near_dedup.region_pairs(near_dedup.with_crowds(one_label, crowded, 0), 0).isEmpty() and near_dedup.nearest_pairs(one_label, 0).isEmpty()
     # Of each class one pair at most, with another label.
     nearest = [(r.a, r.b) for r in near_dedup.nearest_pairs(classes, 0).collect()]
     assert {i for pair in nearest for i in pair} == set(range(64)) and len(nearest) <= 64
