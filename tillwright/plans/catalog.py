@@ -15,8 +15,9 @@ from tillwright.operators import audit, keyed, logs, metrics, quality
 from tillwright.plans import daily, dashboard, replay
 from tillwright.schema import LITERAL_EVENT_TIME_FORMAT, RECORD_FIELDS, TABLES
 from tillwright.session import configure, scratch_folder
+from tillwright.sinks.current import CurrentRows
 from tillwright.sinks.publish import publish_folder, to_json_records
-from tillwright.sinks.tables import FileStore
+from tillwright.sinks.tables import FileStore, conform
 from tillwright.sources import decode
 from tillwright.sources.readers import folder_stream
 from tillwright.streaming import job
@@ -287,6 +288,28 @@ def rejects_replayed(spark, sf_dir):
     return shown.select("batch_id", "table_name", "reason", "copy", *names).join(kept, "batch_id")
 
 
+def current_rows(spark, sf_dir):
+    """The last purchase of each user, merged year by year; one year comes late, one is done again in other rows."""
+    store = FileStore(scratch_folder(spark, "current"))
+    rows = tx(spark, sf_dir).withColumns({"transaction_id": F.col("user_id"), "processed_at": F.lit(None).cast("timestamp")})
+    rows = rows.withColumn("_year", F.year("event_time")).persist()
+    held = CurrentRows(store, "transactions", "years", buckets=16)
+
+    def put(year: int, made: DataFrame) -> None:
+        store.replace_batch(conform(made, "transactions"), "transactions", "years", year)
+        held.merge(spark, year)
+
+    try:
+        years = [row["_year"] for row in rows.select("_year").distinct().orderBy("_year").collect()]
+        late = years[len(years) // 2]
+        put(years[-1], rows.filter(F.col("_year") == years[0]))
+        for year in [*[year for year in years if year != late], late]:
+            put(year, rows.filter(F.col("_year") == year))
+    finally:
+        rows.unpersist()
+    return held.read(spark).select("batch_id", *RECORD_FIELDS)
+
+
 def compacted_batches(spark, sf_dir):
     """Payment metrics per hour: compacted by day, some batches done again, and compacted once more."""
     store, table, day = FileStore(scratch_folder(spark, "compacted")), "payment_metrics", 24
@@ -523,6 +546,7 @@ QUERIES: dict[str, Query] = {
     "rejected_tables": rejected_tables,
     "rejects_replayed": rejects_replayed,
     "compacted_batches": compacted_batches,
+    "current_rows": current_rows,
     "daily_incremental": daily_incremental,
     "offset_gaps": offset_gaps,
     "daily_stored": daily_stored,

@@ -479,6 +479,12 @@ SELECT {_DAY} AS "date", count(DISTINCT user_id) AS unique_customers, TRUE AS wi
 FROM event_tx GROUP BY 1""",
         "rejected_tables": _rejected_tables(),
         "rejects_replayed": _rejects_replayed(),
+        "current_rows": _tx(f"""
+            SELECT year AS batch_id, {_RECORD.replace('"transaction_id"', "user_id AS transaction_id")}
+            FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY year DESC,
+                    {", ".join(f'"{name}" DESC NULLS LAST' for name in RECORD_FIELDS if name != "transaction_id")}) AS place
+                  FROM (SELECT *, CAST(year(event_time) AS BIGINT) AS year FROM tx))
+            WHERE place = 1"""),
         "compacted_batches": _interval(_PAYMENT, "payment_method", 3600),
         "offset_gaps": _offset_gaps(),
         "stream_late_file": f"{_STREAM}\nSELECT count(*) AS transactions FROM stream",

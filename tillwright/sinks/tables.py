@@ -29,6 +29,15 @@ def conform(rows: DataFrame, table: str) -> DataFrame:
     return rows.select(*[F.col(name).cast(dtype) for name, dtype in TABLES[table].columns.items()])
 
 
+def newest_by_key(rows: DataFrame, key: Sequence[str], also: Sequence[str] = ()) -> DataFrame:
+    """One row per key, of the highest batch; in a batch the greatest in column order. ``also`` depends on the key."""
+    fixed = [*also, *key]
+    version = ["batch_id", *[name for name in rows.columns if name not in ("batch_id", *fixed)]]
+    # One struct that is both the order and the row: each column crosses the shuffle once.
+    newest = rows.groupBy(*fixed).agg(F.max(F.struct(*[c for c in version if c not in fixed])).alias("_newest"))
+    return newest.select(*fixed, "_newest.*").select(*rows.columns)
+
+
 class Store(Protocol):
     """What a stream needs of a place for result tables. ``claim``, as in ``FileStore``, is optional."""
 
@@ -88,7 +97,7 @@ class FileStore:
             *names, F.when(~whole, F.concat(F.lit("null key: "), missing)).alias("_reason"), F.when(~whole, payload).alias("_payload")
         )
 
-    def _write(self, rows: DataFrame, mode: str):
+    def writer(self, rows: DataFrame, mode: str):
         return rows.write.format(self.fmt).options(**self.options).mode(mode)
 
     def append(self, rows: DataFrame, table: str) -> None:
@@ -96,11 +105,11 @@ class FileStore:
 
         Rows with a null in the table's key are kept as rejected ones.
         """
-        self._write(self._with_rejects(rows, table), "append").save(f"{self.path(table)}/appended")
+        self.writer(self._with_rejects(rows, table), "append").save(f"{self.path(table)}/appended")
 
     def replace_batch(self, rows: DataFrame, table: str, stream_id: str, batch_id: int) -> None:
         """Make ``rows`` the whole content of one batch of one stream."""
-        self._write(rows.drop("batch_id"), "overwrite").save(self.batch_path(table, batch_id, stream_id))
+        self.writer(rows.drop("batch_id"), "overwrite").save(self.batch_path(table, batch_id, stream_id))
 
     def replace_batches(self, rows: DataFrame, table: str) -> None:
         """Replace every batch that occurs in ``rows``, with its rejects, and leave the others as they are.
@@ -110,7 +119,7 @@ class FileStore:
         """
         key = TABLES[table].key
         dealt = self._with_rejects(rows, table).repartitionByRange(*key).sortWithinPartitions(*key)
-        writer = self._write(dealt, "overwrite").option("partitionOverwriteMode", "dynamic")
+        writer = self.writer(dealt, "overwrite").option("partitionOverwriteMode", "dynamic")
         writer.partitionBy("batch_id").save(self._batches(table, None))
 
     def replace_rollup(self, rows: DataFrame, table: str, now: datetime) -> None:
@@ -133,7 +142,7 @@ class FileStore:
                 rows = older.select(*kept.columns).unionByName(kept)
             else:
                 rows = kept
-            writer = self._write(rows.repartition("part"), "overwrite").option("partitionOverwriteMode", "dynamic")
+            writer = self.writer(rows.repartition("part"), "overwrite").option("partitionOverwriteMode", "dynamic")
             writer.partitionBy("part").save(f"{self.path(table)}/rollup")
         finally:
             kept.unpersist()
@@ -145,7 +154,7 @@ class FileStore:
         folder = f"{self.path(table)}/rollup"
         if not folders.exists(spark, folder):
             return None
-        return self._reader(spark, {**TABLES[table].columns, "part": "string"}).load(folder)
+        return self.reader(spark, {**TABLES[table].columns, "part": "string"}).load(folder)
 
     def read_rollup(self, spark: SparkSession, table: str) -> DataFrame:
         """The rollup as last stored; empty before that."""
@@ -192,13 +201,13 @@ class FileStore:
         for number in sorted({batch // width for batch in loose}):
             own = sorted(batch for batch in loose if batch // width == number)
             paths = [self.batch_path(table, batch, stream_id) for batch in own]
-            rows = self._reader(spark, columns).option("basePath", self._batches(table, stream_id)).load(paths)
+            rows = self.reader(spark, columns).option("basePath", self._batches(table, stream_id)).load(paths)
             if older := versions.get(number):
-                held = self._reader(spark, columns).load(older[-1])
+                held = self.reader(spark, columns).load(older[-1])
                 rows = rows.unionByName(held.filter(~F.col("batch_id").isin(own)))
             last = int(older[-1].rpartition("=")[2]) if older else 0
             into = f"{self._compacted(table, stream_id)}/range={number}/version={last + 1}"
-            self._write(rows.repartitionByRange("batch_id", *key).sortWithinPartitions("batch_id", *key), "overwrite").save(into)
+            self.writer(rows.repartitionByRange("batch_id", *key).sortWithinPartitions("batch_id", *key), "overwrite").save(into)
             now = self._loose(spark, table, stream_id)
             for batch in own:
                 # A batch replaced meanwhile keeps its folder, which wins over the range.
@@ -221,7 +230,7 @@ class FileStore:
         parts, base = [], self._batches(table, stream_id)
         while True:
             loose = self._loose(spark, table, stream_id).keys()
-            batches = self._reader(spark, columns).load(base) if folders.exists(spark, base) else None
+            batches = self.reader(spark, columns).load(base) if folders.exists(spark, base) else None
             versions = self._versions(spark, table, stream_id)
             # Else a compaction moved batches between the two listings.
             if loose == self._loose(spark, table, stream_id).keys():
@@ -229,11 +238,11 @@ class FileStore:
         if batches is not None:
             parts.append(batches)
         if versions:
-            held = self._reader(spark, {**columns, "batch_id": "bigint"}).load([whole[-1] for whole in versions.values()])
+            held = self.reader(spark, {**columns, "batch_id": "bigint"}).load([whole[-1] for whole in versions.values()])
             parts.append(held.filter(~F.col("batch_id").isin(sorted(loose))) if loose else held)
         appended = f"{self.path(table)}/appended"
         if stream_id is None and folders.exists(spark, appended):
-            parts.append(self._reader(spark, columns).load(appended))
+            parts.append(self.reader(spark, columns).load(appended))
         return reduce(DataFrame.unionByName, [part.select(*columns) for part in parts]) if parts else None
 
     def read(self, spark: SparkSession, table: str, stream_id: str | None = None) -> DataFrame:
@@ -270,12 +279,7 @@ class FileStore:
 
         Rows of equal key in one batch have no order of writing; the greatest in column order wins.
         """
-        rows = self.read(spark, table, stream_id)
-        key = TABLES[table].key
-        version = ["batch_id", *[name for name in rows.columns if name not in ("batch_id", *key)]]
-        # One struct that is both the order and the row: each column crosses the shuffle once.
-        newest = rows.groupBy(*key).agg(F.max(F.struct(*[c for c in version if c not in key])).alias("_newest"))
-        return newest.select(*key, "_newest.*").select(*rows.columns)
+        return newest_by_key(self.read(spark, table, stream_id), TABLES[table].key)
 
     def lookup(
         self, spark: SparkSession, table: str, batch_id: int, stream_id: str | None = None, width: int = RANGE_BATCHES
@@ -288,17 +292,17 @@ class FileStore:
         shown = list(TABLES[table].columns) + ["batch_id"] * (stream_id is not None and "batch_id" not in TABLES[table].columns)
         folder = self.batch_path(table, batch_id, stream_id)
         if folders.exists(spark, folder):
-            rows = self._reader(spark, columns).option("basePath", folder.rsplit("/", 1)[0]).load(folder)
+            rows = self.reader(spark, columns).option("basePath", folder.rsplit("/", 1)[0]).load(folder)
             return self._kept(rows, table).select(*shown)
         base = f"{self._compacted(table, stream_id)}/range={batch_id // width}"
         versions = sorted(folders.subfolders(spark, base), key=lambda v: int(v.partition("=")[2]))
         whole = [f"{base}/{v}" for v in versions if folders.exists(spark, f"{base}/{v}/_SUCCESS")]
         if not whole:
             return self._empty(spark, {name: columns[name] for name in shown})
-        rows = self._reader(spark, columns).load(whole[-1]).filter(F.col("batch_id") == batch_id)
+        rows = self.reader(spark, columns).load(whole[-1]).filter(F.col("batch_id") == batch_id)
         return self._kept(rows, table).select(*shown)
 
-    def _reader(self, spark: SparkSession, columns: Mapping[str, str]) -> DataFrameReader:
+    def reader(self, spark: SparkSession, columns: Mapping[str, str]) -> DataFrameReader:
         # Declared, not inferred: no footer is read up front and ids keep their types.
         return spark.read.format(self.fmt).options(**self.options).schema(_ddl(columns))
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 from functools import partial, reduce
@@ -17,7 +17,8 @@ from tillwright.operators import audit, logs, metrics
 from tillwright.operators.keyed import split_on_key
 from tillwright.plans import daily, dashboard
 from tillwright.schema import HIGH_VALUE_THRESHOLD, TABLES
-from tillwright.sinks.tables import Store, conform, numbered_copies, rejects
+from tillwright.sinks.current import CurrentRows
+from tillwright.sinks.tables import FileStore, Store, conform, numbered_copies, rejects
 from tillwright.sources.decode import DAMAGED, PLACE
 
 log = logging.getLogger(__name__)
@@ -42,7 +43,8 @@ class BatchTables:
     ``distinct`` is one mode for all tables or a mode per table. With ``rollups_every``, the days' states are
     stored too, and after each so many batches the daily rows of the days touched in them and the
     dashboard's values are brought up to date. A batch with the places of its records (``job.start`` with
-    ``ledger``) gets its rows of ``read_ledger``.
+    ``ledger``) gets its rows of ``read_ledger``. Each batch is merged into the ``CurrentRows`` of the tables in
+    ``current``.
     """
 
     def __init__(
@@ -55,6 +57,7 @@ class BatchTables:
         parallel_writes: int = 8,
         on_counts: Callable[[int, dict], None] | None = None,
         rollups_every: int | None = None,
+        current: Sequence[str] = (),
     ):
         self.store, self.stream_id = store, stream_id
         modes = {table: distinct for table in DISTINCT_BY_TABLE} if isinstance(distinct, str) else dict(distinct or {})
@@ -66,6 +69,9 @@ class BatchTables:
         if rollups_every is not None and not (hasattr(store, "replace_rollup") and hasattr(store, "read")):
             raise ValueError("this store keeps no rollups")
         self.rollups_every = rollups_every
+        if current and not isinstance(store, FileStore):
+            raise ValueError("this store keeps no batches to merge from")
+        self.current = [CurrentRows(store, table, stream_id) for table in current]
         self._owner: str | None = None
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
@@ -84,6 +90,8 @@ class BatchTables:
                     tables["zero_success_statuses"] = lambda: logs.alarmed_statuses(batch)
                 self._write(batch, batch_id, tables, stamps)
                 self._report(batch, batch_id, row)
+            for rows in self.current:
+                rows.merge(batch.sparkSession, batch_id)
             if self.rollups_every and (batch_id + 1) % self.rollups_every == 0:
                 self._roll_up(batch.sparkSession, batch_id, stamps["batch_time"])
         finally:
