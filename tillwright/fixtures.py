@@ -42,24 +42,28 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(_COLUMNS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
+# The buyer fields of a record. They are made of ``_buyers`` after the joins, so that shuffles carry what they are made of.
+_BUYER_FIELDS = {
+    "user_id": "cast(c_custkey as string)",
+    "user_name": "c_name",
+    "email": "concat('user', c_custkey, '@example.com')",
+    "age": "cast(18 + c_custkey % 53 as int)",
+    "gender": "case c_custkey % 3 when 0 then 'Male' when 1 then 'Female' else 'Other' end",
+    "country": "n_name",
+    "city": "c_mktsegment",
+}
+
+
 def _buyers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The buyer fields of a record, one row per customer."""
+    """What the buyer fields are made of, one row per customer."""
     customer = _table(spark, sf_dir, "customer")
     nation = _table(spark, sf_dir, "nation")
-    return customer.join(nation, customer.c_nationkey == nation.n_nationkey).selectExpr(
-        "c_custkey",
-        "cast(c_custkey as string) as buyer_id",
-        "c_name as user_name",
-        "concat('user', c_custkey, '@example.com') as email",
-        "cast(18 + c_custkey % 53 as int) as age",
-        "case c_custkey % 3 when 0 then 'Male' when 1 then 'Female' else 'Other' end as gender",
-        "n_name as country",
-        "c_mktsegment as city",
-    )
+    return customer.join(nation, customer.c_nationkey == nation.n_nationkey).select("c_custkey", "c_name", "n_name", "c_mktsegment")
 
 
 def _records(rows: DataFrame, derived: dict[str, str]) -> DataFrame:
     """The record fields in order, by expression where there is one and by name otherwise."""
+    derived = {**_BUYER_FIELDS, **derived}
     return rows.selectExpr(*[f"{derived.get(name, name)} as `{name}`" for name in RECORD_FIELDS])
 
 
@@ -81,7 +85,6 @@ def tx_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         {
             "transaction_id": "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, "
             "date_format(l_shipdate, 'yyyy-MM-dd'))",
-            "user_id": "buyer_id",
             "product_id": "cast(p_partkey as string)",
             "product_name": "p_name",
             "category": "case when l_partkey % 101 <> 0 then p_type end",
@@ -115,7 +118,6 @@ def event_records(
         events.hint("merge").join(buyers, events.user_id == buyers.c_custkey),
         {
             "transaction_id": "cast(event_id as string)",
-            "user_id": "buyer_id",
             "product_id": "cast(k as string)",
             "product_name": "cast(k as string)",
             "category": "event_type",

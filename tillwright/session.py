@@ -14,12 +14,20 @@ SETTINGS = {
     "spark.sql.legacy.timeParserPolicy": "CORRECTED",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Exact distinct counts take some 20 bytes of memory for a byte of shuffle.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
 }
 
+# Shuffles start with so many partitions at least, which adaptive execution merges again up to its advisory
+# size. So what one task sorts or aggregates does not grow with the input where the cluster's number is small.
+FIRST_PARTITIONS = 1000
+_FIRST = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the settings to a session, in place."""
-    for name, value in SETTINGS.items():
+    """Apply the settings to a session, in place. A larger number of partitions of the cluster is kept."""
+    first = max(FIRST_PARTITIONS, *[int(spark.conf.get(name, None) or 0) for name in (_FIRST, "spark.sql.shuffle.partitions")])
+    for name, value in {**SETTINGS, _FIRST: str(first)}.items():
         if spark.conf.get(name, None) != value:
             spark.conf.set(name, value)
     return spark
