@@ -268,10 +268,10 @@ def _shown_rejects(rejected: DataFrame) -> DataFrame:
 def rejected_tables(spark, sf_dir):
     """Null keys of the six keyed tables, as the store keeps them with their payload."""
     store = FileStore(scratch_folder(spark, "rejects"))
-    rows = _holey(tx(spark, sf_dir))
-    for table, made in _keyed_tables(rows).items():
+    store.append(_holey(tx(spark, sf_dir)).withColumn("processed_at", F.lit(None).cast("timestamp")), "transactions")
+    # The joins are made once: the other tables are made of the rows as they were stored, rejects included.
+    for table, made in _keyed_tables(store.appended(spark, "transactions")).items():
         store.replace_batches(made, table)
-    store.append(rows.withColumn("processed_at", F.lit(None).cast("timestamp")), "transactions")
     return _shown_rejects(store.read(spark, "rejected_rows"))
 
 
@@ -326,9 +326,13 @@ def compacted_batches(spark, sf_dir):
 def daily_stored(spark, sf_dir):
     """The daily rollup, stored twice by key and read back without its clock."""
     store = FileStore(scratch_folder(spark, "rollup"))
-    rows = daily.daily_aggregates(tx(spark, sf_dir), EXACT)
-    for part in (rows.filter("date < '1995'"), rows):
-        store.replace_rollup(part, "daily_aggregates", datetime.now(timezone.utc))
+    # A row per day, made once for both times.
+    rows = daily.daily_aggregates(tx(spark, sf_dir), EXACT).persist()
+    try:
+        for part in (rows.filter("date < '1995'"), rows):
+            store.replace_rollup(part, "daily_aggregates", datetime.now(timezone.utc))
+    finally:
+        rows.unpersist()
     return store.read_rollup(spark, "daily_aggregates").drop("created_at")
 
 

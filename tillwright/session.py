@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.legacy.timeParserPolicy": "CORRECTED",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Small results that are persisted are merged into few partitions too.
+    "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning": "true",
     # Exact distinct counts take some 20 bytes of memory for a byte of shuffle.
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
 }

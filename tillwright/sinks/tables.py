@@ -258,6 +258,10 @@ class FileStore:
         rows = self._everything(spark, table, stream_id)
         return self._empty(spark, columns) if rows is None else self._kept(rows, table).select(*columns)
 
+    def appended(self, spark: SparkSession, table: str) -> DataFrame:
+        """The rows of ``append`` as they came, those without a whole key included."""
+        return self.reader(spark, TABLES[table].columns).load(f"{self.path(table)}/appended")
+
     def _kept(self, rows: DataFrame, table: str) -> DataFrame:
         return rows if table in KEYLESS else rows.filter("_reason IS NULL")
 
