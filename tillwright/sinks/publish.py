@@ -17,8 +17,9 @@ def to_json_records(tx: DataFrame, fields: Sequence[str] = RECORD_FIELDS) -> Dat
 
 
 def publish_folder(records: DataFrame, path: str, max_records_per_file: int = 1_000_000) -> None:
-    """Append JSON-lines files of bounded size, written by the tasks in parallel."""
-    records.select("value").write.mode("append").option("maxRecordsPerFile", max_records_per_file).text(path)
+    """Append JSON-lines files of bounded size, compressed and written by the tasks in parallel."""
+    writer = records.select("value").write.mode("append").option("maxRecordsPerFile", max_records_per_file)
+    writer.text(path, compression="gzip")
 
 
 def publish_topic(
