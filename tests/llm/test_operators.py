@@ -486,3 +486,40 @@ def test_the_filter_lets_all_nodes_through_and_few_others(spark):
     rows, nodes = spark.range(20_000).withColumnRenamed("id", "node"), spark.range(0, 20_000, 100).withColumnRenamed("id", "node")
     passed = {r.node for r in near_dedup._in_filter(rows, nodes).collect()}
     assert set(range(0, 20_000, 100)) <= passed and len(passed) < 230
+
+
+def test_crowds_are_compared_whole(spark, monkeypatch):
+    # 300 texts of one family in blocks of 40 at most, none of which the neighbours have linked.
+    monkeypatch.setattr(near_dedup, "BLOCK", 40)
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(100)]
+    sets = {}
+    for node in range(300):
+        words = list(base)
+        for at in rng.sample(range(100), rng.randrange(0, 12)):
+            words[at] = f"x{node}-{at}"
+        sets[node] = near_dedup.shingle_set(" ".join(words), 2, near_dedup._WordHashes())
+    rows = [(node, near_dedup._packed(one)) for node, one in sets.items()]
+    label = {node: 0 if node < 90 else node for node in sets}
+    members = spark.createDataFrame([(node, label[node], 7) for node in sets], "node long, label long, crowd long")
+    found = near_dedup.crowd_links(members, spark.createDataFrame(rows, "node long, shingles binary")).collect()
+    whole = {node: set(one.tolist()) for node, one in sets.items()}
+
+    def similar(a, b):
+        both = len(whole[a] & whole[b])
+        return 100 * both >= 80 * (len(whole[a]) + len(whole[b]) - both)
+
+    assert all(similar(r.a, r.b) and label[r.a] != label[r.b] for r in found)
+
+    def joined(links):
+        of = dict(label)
+        for a, b in links:
+            old, new = of[a], of[b]
+            of = {node: new if x == old else x for node, x in of.items()}
+        groups = {}
+        for node, x in of.items():
+            groups.setdefault(x, set()).add(node)
+        return sorted(map(sorted, groups.values()))
+
+    every = [(a, b) for a in sets for b in sets if a < b and label[a] != label[b] and similar(a, b)]
+    assert joined([(r.a, r.b) for r in found]) == joined(every) and len(found) < len(every) / 4

@@ -5,21 +5,22 @@ signature, and the forest sorts all signatures in several orders. Classes whose
 prefix in an order stand next to each other there, those with the longest common prefix closest; they are a
 region. Candidates are confirmed on their full shingle sets, and confirmed ones get one label.
 
-Work per region is linear at first: each class is compared with its longest-common-prefix neighbours that have
-another label, and the best of all orders is confirmed (NEAR_ROUNDS). So most of a group has few labels before
-pairs are looked at, and pairs within a label are never formed. Then all pairs of different labels in regions of
-up to CROWDED classes are candidates. Larger regions with several labels are gone into more deeply: their
-classes are sorted anew in more orders by longer prefixes (LEVELS), which makes regions small where the classes
-differ. What is still crowded at the last level is compared with its neighbours only.
+Each class is first compared with its longest-common-prefix neighbours that have another label, and the best of
+all orders is confirmed (NEAR_ROUNDS). So most of a group has few labels before pairs are looked at, and pairs
+within a label are never formed. Then all pairs of different labels in regions of up to CROWDED classes are
+candidates.
 
-No group is ever gathered: crowded regions are range-partitioned and read as a stream, and the others
-are bounded.
+Classes of larger regions with several labels are compared exactly, on their full sets: regions that share a class make a
+crowd, whose classes are dealt into blocks of about BLOCK, a large label in blocks of its own. A task takes two
+blocks, and gives the links that join labels only, so what is made grows with the blocks, not with the pairs.
+Blocks of one label are not compared with each other.
+
+No group is ever gathered: a task holds two blocks, or regions that are bounded.
 
 Which links are found. Two sets of similarity s share the least prefix in one order with probability
 s**DEPTH, so at least one of 20 orders shows them with 1 - (1 - s**4)**20: at s = 0.8 that is 0.99997. The
-sketch that both must share is the same in all orders; it turns down 8.8e-7 of such pairs. A pair all of whose
-regions are crowded with several labels meets at depth 8 in one of 60 orders with 0.998 on average, as the orders share 128
-values (computed over the binomial number of values that agree); tests measure the share of links found.
+sketch that both must share is the same in all orders; it turns down 8.8e-7 of such pairs. In a
+crowd every pair of different labels is compared, so no link is lost there; tests measure the share of links found.
 """
 
 from __future__ import annotations
@@ -41,10 +42,11 @@ SHINGLE_WORDS = 5
 SIMILAR_PERCENT = 80
 
 HASHES = 128
-# Depth (least common prefix, in signature values) and number of orders; the next level is for crowded regions.
-LEVELS = ((4, 20), (8, 60), (12, 200))
+# Depth (least common prefix, in signature values) and number of orders.
+LEVELS = ((4, 20),)
 KEY_VALUES = 12  # how far orders are sorted
-CROWDED, WIDTH_CROWDED = 64, 3
+CROWDED = 64
+BLOCK = 512  # classes; two blocks are in memory at once
 # One bit per signature value; of two sets of similarity 0.8 at least, 0.9 of them agree on average. Fewer
 # than this many of 128 do with 8.8e-7, a thirtieth of what the orders miss.
 SKETCH_AGREE = 97
@@ -61,8 +63,8 @@ def _constants() -> tuple[np.ndarray, np.ndarray]:
     return factor, rng.integers(0, 1 << 63, HASHES, dtype=np.uint64)
 
 
-def _level_orders(depth: int, orders: int) -> np.ndarray:
-    """For each order of a level the signature values that it sorts by, in turn.
+def _sort_orders(depth: int, orders: int) -> np.ndarray:
+    """For each order the signature values that it sorts by, in turn.
 
     Leading values of different orders are disjoint as long as there are enough of them.
     """
@@ -135,7 +137,7 @@ def signatures(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame
     return source.mapInArrow(run, "doc_id long, n_shingles long, set_key binary, signature binary")
 
 
-def _orders(classes: DataFrame, level: int) -> DataFrame:
+def _orders(classes: DataFrame, level: int = 0) -> DataFrame:
     """A row per class and order: tree, key (the signature in that order), node, n, label and 128 bits of sketch.
 
     ``prefix``, the least common prefix, is the region together with ``tree``.
@@ -143,7 +145,7 @@ def _orders(classes: DataFrame, level: int) -> DataFrame:
     depth, count = LEVELS[level]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        orders = _level_orders(depth, count)
+        orders = _sort_orders(depth, count)
         for whole in batches:
             # Some thousand classes at a time, as each makes many rows.
             for batch in (whole.slice(at, 2000) for at in range(0, whole.num_rows, 2000)):
@@ -257,8 +259,8 @@ def _ordered(column: str) -> list[Column]:
     return [F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"), F.col(column)]
 
 
-def nearest_pairs(classes: DataFrame, level: int) -> DataFrame:
-    """a, b: of each class the pair with a neighbour of another label that agrees best, over all orders of a level."""
+def nearest_pairs(classes: DataFrame, level: int = 0) -> DataFrame:
+    """a, b: of each class the pair with a neighbour of another label that agrees best, over all orders."""
     depth, order = LEVELS[level][0], ["tree", "key", "node"]
     rows = _orders(classes, level).drop("prefix").repartitionByRange(shuffle_partitions(classes.sparkSession), *order)
     met = rows.sortWithinPartitions(*order).mapInArrow(lambda batches: _met(batches, depth, True, 0), _PAIR)
@@ -266,7 +268,7 @@ def nearest_pairs(classes: DataFrame, level: int) -> DataFrame:
     return best.select("node", "best.*").select(*_ordered("agree")).select("a", "b").distinct()
 
 
-def crowded_regions(classes: DataFrame, level: int) -> DataFrame:
+def crowded_regions(classes: DataFrame, level: int = 0) -> DataFrame:
     """tree, prefix, mixed of the regions with more than CROWDED classes: whether they have several labels."""
     sizes = _orders(classes, level).groupBy("tree", "prefix").agg(
         F.count("*").alias("size"), (F.min("label") != F.max("label")).alias("mixed")
@@ -274,33 +276,99 @@ def crowded_regions(classes: DataFrame, level: int) -> DataFrame:
     return stored(sizes.filter(F.col("size") > CROWDED).select("tree", "prefix", "mixed"), "regions")
 
 
-def with_crowds(classes: DataFrame, crowded: DataFrame, level: int) -> DataFrame:
-    """The rows of a level with ``mixed``, which is null where the region is not crowded."""
+def with_crowds(classes: DataFrame, crowded: DataFrame, level: int = 0) -> DataFrame:
+    """The rows of the orders with ``mixed``, which is null where the region is not crowded."""
     return _orders(classes, level).join(crowded, ["tree", "prefix"], "left")
 
 
-def region_pairs(rows: DataFrame, level: int) -> DataFrame:
-    """a, b: all pairs of different labels in a region of a level that is not crowded, and close ones in the others.
+def region_pairs(rows: DataFrame, level: int = 0) -> DataFrame:
+    """a, b: all pairs of different labels in a region that is not crowded; such a region lies in one task.
 
-    ``rows`` are those of ``with_crowds``. A region that is not crowded lies in one task. Crowded regions are cut into ranges.
+    ``rows`` are those of ``with_crowds``.
     """
     partitions, depth = shuffle_partitions(rows.sparkSession), LEVELS[level][0]
-    order = ["tree", "key", "node"]
-    rows = rows.select("tree", "key", "node", "n", "label", "sketch_0", "sketch_1", "prefix", "mixed")
-
-    def met(rows: DataFrame, near: bool, width: int) -> DataFrame:
-        return rows.sortWithinPartitions(*order).drop("prefix", "mixed").mapInArrow(lambda batches: _met(batches, depth, near, width), _PAIR)
-
-    sparse = rows.filter("mixed IS NULL").repartition(partitions, "tree", "prefix")
-    dense = rows.filter("mixed").repartitionByRange(partitions, *order)
-    pairs = met(sparse, False, CROWDED - 1).union(met(dense, True, WIDTH_CROWDED)).filter("node <> other")
+    rows = rows.filter("mixed IS NULL").select("tree", "key", "node", "n", "label", "sketch_0", "sketch_1", "prefix")
+    dealt = rows.repartition(partitions, "tree", "prefix").sortWithinPartitions("tree", "key", "node").drop("prefix")
+    pairs = dealt.mapInArrow(lambda batches: _met(batches, depth, False, CROWDED - 1), _PAIR).filter("node <> other")
     return pairs.select(*_ordered("agree")).select("a", "b").distinct()
 
 
-def in_mixed_crowds(classes: DataFrame, rows: DataFrame) -> DataFrame:
-    """The classes that stand in a crowded region with several labels, by the rows of ``with_crowds``."""
-    inside = rows.filter("mixed").select("node").distinct()
-    return classes.join(inside, "node", "left_semi").select(*classes.columns)
+def crowds(classes: DataFrame, crowded: DataFrame) -> DataFrame:
+    """node, label, crowd of the classes in crowded regions with several labels; regions that share a class are one crowd."""
+    inside = _orders(classes).join(crowded.filter("mixed").select("tree", "prefix"), ["tree", "prefix"])
+    inside = stored(inside.select("node", "label", F.xxhash64("tree", "prefix").alias("region")), "inside")
+    # A region goes by its least class.
+    first = inside.groupBy("region").agg(F.min("node").alias("first"))
+    found = components(inside.join(first, "region").filter("node <> first").select(F.col("node").alias("a"), F.col("first").alias("b")).distinct())
+    members = inside.select("node", "label").distinct().join(found, "node")
+    made = stored(members.select("node", "label", F.col("component").alias("crowd")), "crowds")
+    discard(inside, found)
+    return made
+
+
+def _blocks(members: DataFrame) -> DataFrame:
+    """``crowds`` with ``of`` (a large label, or null for the others) and ``part``, which together are a block."""
+    sizes = members.groupBy("crowd", "label").agg(F.count("*").alias("size"))
+    large = F.col("size") > BLOCK // 2
+    rest = sizes.filter(~large).groupBy("crowd").agg(F.sum("size").alias("others"))
+    joined = members.join(sizes, ["crowd", "label"]).join(rest, "crowd", "left")
+    parts = F.ceil(F.when(large, F.col("size")).otherwise(F.col("others")) / BLOCK)
+    # Small labels lie whole in one block, so that their own pairs are never formed.
+    dealt = F.when(large, F.xxhash64("node")).otherwise(F.xxhash64("label"))
+    return joined.select("crowd", "node", "label", F.when(large, F.col("label")).alias("of"), F.pmod(dealt, parts).alias("part"))
+
+
+def _crowd_links(table: pa.Table) -> pa.Table:
+    """Links (a, b) of similar sets among two blocks that join their labels: at most one less than there are labels."""
+    table = table.sort_by("node")
+    nodes, labels, right = (table[name].to_numpy() for name in ("node", "label", "right"))
+    sets = [_unpacked(packed) for packed in table["shingles"].to_pylist()]
+    sizes = np.array([len(one) for one in sets])
+    _, ids = np.unique(np.concatenate(sets), return_inverse=True)
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    order = np.argsort(ids, kind="stable")
+    posted, starts = owner[order], np.concatenate([[0], np.cumsum(np.bincount(ids))])
+    at = np.concatenate([[0], np.cumsum(sizes)])
+    label_ids = np.unique(labels, return_inverse=True)[1]
+    found_a, found_b = [], []
+    two = right.any()
+    for i in range(len(sets)):
+        if two and right[i]:
+            continue
+        mine = ids[at[i] : at[i + 1]]
+        common = np.zeros(len(sets), np.int64)
+        for start, end in zip(starts[mine], starts[mine + 1], strict=True):
+            common[posted[start:end]] += 1
+        similar = 100 * common >= SIMILAR_PERCENT * (sizes[i] + sizes - common)
+        for j in np.flatnonzero(similar & (label_ids != label_ids[i]) & (right == two)):
+            if label_ids[j] != label_ids[i]:
+                found_a.append(nodes[i])
+                found_b.append(nodes[j])
+                label_ids[label_ids == label_ids[j]] = label_ids[i]
+    return pa.table({"a": pa.array(found_a, pa.int64()), "b": pa.array(found_b, pa.int64())})
+
+
+def crowd_links(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """a, b: links that join the labels of ``crowds``, found by comparing all classes of different labels."""
+    rows = stored(_blocks(members), "blocks")
+    blocks = rows.select("crowd", "of", "part").distinct()
+    ends = [blocks.select("crowd", *[F.col(name).alias(f"{name}_{end}") for name in ("of", "part")]) for end in "xy"]
+    block = [F.struct(F.col(f"of_{end}"), F.col(f"part_{end}")) for end in "xy"]
+    # A block of small labels is compared with itself too, and no two blocks of one large label are.
+    apart = F.col("of_x").isNull() | ~F.col("of_x").eqNullSafe(F.col("of_y"))
+    both = ends[0].join(ends[1], "crowd").filter((block[0] <= block[1]) & apart).withColumn("pair", F.struct(*block))
+    same = block[0] == block[1]
+    sides = both.select("crowd", "pair", F.col("of_x").alias("of"), F.col("part_x").alias("part"), F.lit(False).alias("right")).union(
+        both.filter(~same).select("crowd", "pair", "of_y", "part_y", F.lit(True))
+    )
+    sides = sides.select(F.col("crowd").alias("_crowd"), "pair", F.col("of").alias("_of"), F.col("part").alias("_part"), "right")
+    alike = (F.col("crowd") == F.col("_crowd")) & F.col("of").eqNullSafe(F.col("_of")) & (F.col("part") == F.col("_part"))
+    placed = rows.join(sides, alike).select("_crowd", "pair", "right", "node", "label")
+    filled = placed.join(sets, "node").select("_crowd", "pair", "right", "node", "label", "shingles")
+    links = filled.groupBy("_crowd", "pair").applyInArrow(_crowd_links, "a long, b long")
+    made = stored(links.distinct(), "links")
+    discard(rows)
+    return made
 
 
 def _in_filter(rows: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -396,7 +464,17 @@ class _Links:
         if pairs.isEmpty():
             return
         nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-        fresh = _confirm(pairs, self._with_sets(nodes))
+        self._label(_confirm(pairs, self._with_sets(nodes)))
+
+    def add_crowds(self, members: DataFrame) -> None:
+        """Compare the classes of ``crowds``, and give linked ones one label."""
+        if members.isEmpty():
+            return
+        found = crowd_links(members, self._with_sets(members.select("node")))
+        self._label(found)
+        discard(found)
+
+    def _label(self, fresh: DataFrame) -> None:
         of = [self.labels.select(F.col("node").alias(end), F.col("label").alias(f"label_{end}")) for end in "ab"]
         joined = fresh.join(of[0], "a").join(of[1], "b").select(F.col("label_a").alias("a"), F.col("label_b").alias("b"))
         found = components(joined)
@@ -414,24 +492,15 @@ class _Links:
 def class_labels(docs: DataFrame, classes: DataFrame, shingle_words: int) -> DataFrame:
     """node, label (the smallest node linked to it) of classes (node, n_shingles, signature)."""
     links, members = _Links(docs, classes, shingle_words), classes.select("node", "n_shingles", "signature")
-    for level in range(len(LEVELS)):
-        labelled = lambda: members.join(links.labels, "node")  # noqa: B023, E731
-        for _ in range(NEAR_ROUNDS):
-            links.add(nearest_pairs(labelled(), level))
-        crowded = crowded_regions(labelled(), level)
-        # Made and joined once, for pairs and for who goes deeper.
-        rows = stored(with_crowds(labelled(), crowded, level), "rows")
-        links.add(region_pairs(rows, level))
-        deeper = None
-        if level + 1 < len(LEVELS) and not crowded.filter("mixed").isEmpty():
-            deeper = stored(in_mixed_crowds(members, rows), "members")
-        discard(crowded, rows, *[members] * (level > 0))
-        if deeper is None:
-            break
-        members = deeper
-        if deeper.isEmpty():
-            discard(deeper)
-            break
+    for _ in range(NEAR_ROUNDS):
+        links.add(nearest_pairs(members.join(links.labels, "node")))
+    crowded = crowded_regions(members.join(links.labels, "node"))
+    if not crowded.filter("mixed").isEmpty():
+        inside = crowds(members.join(links.labels, "node"), crowded)
+        links.add_crowds(inside)
+        discard(inside)
+    links.add(region_pairs(with_crowds(members.join(links.labels, "node"), crowded)))
+    discard(crowded)
     return links.done()
 
 
