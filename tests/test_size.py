@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from tillwright import fixtures
@@ -74,3 +76,11 @@ def test_published_records_are_compressed(spark):
     publish_folder(spark.createDataFrame([('{"a": 1}',)], "value string"), folder)
     assert [row["name"].endswith(".gz") for row in spark.read.text(folder).select(F.input_file_name().alias("name")).collect()] == [True]
     assert spark.read.text(folder).first()["value"] == '{"a": 1}'
+
+
+def test_a_year_is_read_without_the_others(spark, monkeypatch):
+    plans = []
+    replaced = FileStore.replace_batch
+    monkeypatch.setattr(FileStore, "replace_batch", lambda self, rows, *rest: (plans.append(plan_of(rows)), replaced(self, rows, *rest))[1])
+    catalog.current_rows(spark, SF)
+    assert plans and all(re.search(r"PartitionFilters: \[[^\]]*_year", plan) for plan in plans)

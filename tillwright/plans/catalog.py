@@ -292,21 +292,21 @@ def current_rows(spark, sf_dir):
     """The last purchase of each user, merged year by year; one year comes late, one is done again in other rows."""
     store = FileStore(scratch_folder(spark, "current"))
     rows = tx(spark, sf_dir).withColumns({"transaction_id": F.col("user_id"), "processed_at": F.lit(None).cast("timestamp")})
-    rows = rows.withColumn("_year", F.year("event_time")).persist()
+    # Joined once and kept by year, so that a year is read without the others.
+    kept, rows = scratch_folder(spark, "years"), rows.withColumn("_year", F.year("event_time"))
+    rows.write.partitionBy("_year").parquet(kept)
+    rows = spark.read.schema(rows.schema).parquet(kept)
     held = CurrentRows(store, "transactions", "years", buckets=16)
 
     def put(year: int, made: DataFrame) -> None:
         store.replace_batch(conform(made, "transactions"), "transactions", "years", year)
         held.merge(spark, year)
 
-    try:
-        years = [row["_year"] for row in rows.select("_year").distinct().orderBy("_year").collect()]
-        late = years[len(years) // 2]
-        put(years[-1], rows.filter(F.col("_year") == years[0]))
-        for year in [*[year for year in years if year != late], late]:
-            put(year, rows.filter(F.col("_year") == year))
-    finally:
-        rows.unpersist()
+    years = [row["_year"] for row in rows.select("_year").distinct().orderBy("_year").collect()]
+    late = years[len(years) // 2]
+    put(years[-1], rows.filter(F.col("_year") == years[0]))
+    for year in [*[year for year in years if year != late], late]:
+        put(year, rows.filter(F.col("_year") == year))
     return held.read(spark).select("batch_id", *RECORD_FIELDS)
 
 
