@@ -84,3 +84,17 @@ def test_a_year_is_read_without_the_others(spark, monkeypatch):
     monkeypatch.setattr(FileStore, "replace_batch", lambda self, rows, *rest: (plans.append(plan_of(rows)), replaced(self, rows, *rest))[1])
     catalog.current_rows(spark, SF)
     assert plans and all(re.search(r"PartitionFilters: \[[^\]]*_year", plan) for plan in plans)
+
+
+def test_repeated_records_are_made_once(spark, monkeypatch):
+    sent = []
+
+    def published(records, folder):
+        sent.append((plan_of(records), records.count(), records.distinct().count()))
+        publish_folder(records, folder)
+
+    monkeypatch.setattr(catalog, "publish_folder", published)
+    catalog.stream_repeats(spark, SF)
+    assert len(sent) == 2
+    for plan, rows, different in sent:
+        assert plan.count("events.parquet") == 1 and rows == 2 * different > 0

@@ -473,7 +473,9 @@ def stream_repeats(spark, sf_dir):
     store = FileStore(f"{folder}/tables")
     for days in ({"since": "2024-01-16"}, {"until": "2024-01-16"}):
         records = to_json_records(event_records(spark, sf_dir, **days))
-        publish_folder(records.union(records), f"{folder}/landing")
+        # Made once, sent twice.
+        twice = records.select(F.explode(F.array("value", "value")).alias("value"))
+        publish_folder(twice, f"{folder}/landing")
         on_batch = BatchTables(store, "repeats", EXACT)
         raw = folder_stream(spark, f"{folder}/landing")
         query = job.start(
