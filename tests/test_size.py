@@ -86,6 +86,21 @@ def test_a_year_is_read_without_the_others(spark, monkeypatch):
     assert plans and all(re.search(r"PartitionFilters: \[[^\]]*_year", plan) for plan in plans)
 
 
+def test_parts_join_before_orders(spark):
+    """Rows of the second shuffle carry the part's three fields, not the order's and the buyer's."""
+    plan = fixtures.tx_records(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    last, first = re.search(r"\(l_orderkey#\d+L = o_orderkey", plan), re.search(r"\(l_partkey#\d+L = p_partkey", plan)
+    assert last.start() < first.start()
+
+
+def test_bytes_of_the_wire_are_not_encoded_again(spark):
+    wire = catalog._wire(spark, SF)
+    assert dict(wire.dtypes) == {"value": "binary"} and "ncode" not in plan_of(wire)
+    text = '{"a":"Zoë 😀"}'
+    row = spark.createDataFrame([(text,)], "value string").select(F.col("value").cast("binary").alias("value")).first()
+    assert bytes(row["value"]) == text.encode()
+
+
 def test_repeated_records_are_made_once(spark, monkeypatch):
     sent = []
 

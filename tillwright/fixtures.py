@@ -71,7 +71,8 @@ def tx_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The record fields, one row per lineitem row.
 
     Buyers join the orders before the lineitem rows do, so the large side is shuffled for two keys
-    (order and part) rather than three.
+    (order and part) rather than three. Parts come first, as they add less to the rows of the second
+    shuffle than orders with their buyers.
     """
     buyers = _buyers(spark, sf_dir)
     orders = _table(spark, sf_dir, "orders")
@@ -79,9 +80,9 @@ def tx_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = _table(spark, sf_dir, "lineitem")
     parts = _table(spark, sf_dir, "part")
     return _records(
-        lines.hint("merge")
-        .join(orders, lines.l_orderkey == orders.o_orderkey)
-        .join(parts, lines.l_partkey == parts.p_partkey),
+        lines.join(parts, lines.l_partkey == parts.p_partkey)
+        .hint("merge")
+        .join(orders, lines.l_orderkey == orders.o_orderkey),
         {
             "transaction_id": "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, "
             "date_format(l_shipdate, 'yyyy-MM-dd'))",

@@ -35,7 +35,7 @@ LOOKUP_DAY = 19_737  # 2024-01-15 as days since the epoch
 def _wire(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The transactions as a topic delivers them: JSON as bytes."""
     records = to_json_records(tx_records(spark, sf_dir))
-    return records.select(F.encode("value", "UTF-8").alias("value"))
+    return records.select(F.col("value").cast("binary").alias("value"))
 
 
 def decode_value(spark, sf_dir):
