@@ -60,9 +60,11 @@ def _irregular(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
     )
     half = F.to_json(F.struct("transaction_id", (F.col("quantity") + 0.5).alias("quantity"), "price"))
+    # A lambda, so that the text is built once for its length and its cut.
+    cut = F.transform(F.array(whole), lambda text: F.substr(text, F.lit(1), F.length(text) - 8))[0]
     # Inline, so that a row builds the one text it needs.
     text = (
-        F.when(F.col("quantity") == 1, F.substr(whole, F.lit(1), F.length(whole) - 8))
+        F.when(F.col("quantity") == 1, cut)
         .when(F.col("quantity") == 2, mistyped)
         .when(F.col("quantity") == 3, half)
         .when(F.col("quantity") == 4, F.regexp_replace(whole, r"\}$", ',"test":true}'))
